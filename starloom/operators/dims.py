@@ -112,9 +112,9 @@ def customer_dimension(silver: DataFrame, type1: bool = False) -> DataFrame:
                                  "t.EDUCATION", "t.OCCUPATION")
     else:
         distinct = silver.select(*cols).distinct()
-    keyed = assign_keys(distinct, cols, "customer_key")
+    keyed = assign_keys(distinct, cols, "_customer_key")
     dim = keyed.select(
-        "customer_key",
+        F.col("_customer_key").alias("customer_key"),
         F.col("CUSTOMER_KEY").alias("customer_number"),
         F.col("CUSTOMER_CODE").alias("customer_code"),
         F.col("NAME").alias("name"),

@@ -36,6 +36,8 @@ def assign_keys(df: DataFrame, order_cols, key: str, start: int = 1) -> DataFram
     """Dense keys start, start+1, ... in the order of ``order_cols``
     (ascending, NULLs first).  Rows that tie on every ordering column get
     consecutive keys in an arbitrary but fixed order."""
+    if key.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"key column {key!r} collides with an input column")
     ensure_checkpoint_dir(df.sparkSession)
     order = [_order(c) for c in order_cols]
     staged = (

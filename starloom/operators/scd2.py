@@ -140,3 +140,42 @@ def version_fanout(silver: DataFrame, dim: DataFrame, as_written: bool = True,
     out = out.filter(F.col("match_count") > 1).orderBy(
         F.col("match_count").desc(), "PRODUCTKEY", "ORDER_DATE")
     return out.limit(limit) if limit else out
+
+
+def _current(dim: DataFrame) -> DataFrame:
+    return dim.filter(F.coalesce((F.col("is_current") == 1) & (F.col("product_key") != -1)
+                                 & F.col("product_number").isNotNull(), F.lit(False)))
+
+
+def classify_incoming(dim: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Each incoming product (reduced to one row) against the current
+    versions: ``new`` (no current version), ``changed`` or ``unchanged``.
+    The ``is_current`` filter sits on the build side of the left join."""
+    src = latest_version_per_product(incoming)
+    cur = _current(dim).select("product_number", *[F.col(c).alias(f"c_{c}") for c in VALUE_COLS],
+                               F.lit(True).alias("_cur"))
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in VALUE_COLS])
+    return src.join(cur, "product_number", "left").select(
+        "product_number",
+        F.when(F.col("_cur").isNull(), "new").when(equal, "unchanged").otherwise("changed")
+        .alias("status"))
+
+
+def changed_products(dim: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Products whose current version differs (NULL-safe) from the
+    incoming one, with what changed."""
+    src = latest_version_per_product(incoming)
+    cur = _current(dim).select("product_number", *[F.col(c).alias(f"c_{c}") for c in VALUE_COLS])
+    attrs_equal = reduce(lambda a, b: a & b,
+                         [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in PRODUCT_ATTRS])
+    price_equal = F.col("unit_price").eqNullSafe(F.col("c_unit_price"))
+    return (src.join(cur, "product_number")
+            .filter(~(attrs_equal & price_equal))
+            .select("product_number", (~price_equal).alias("unit_price_changed"),
+                    (~attrs_equal).alias("attributes_changed")))
+
+
+def versions_of_changed(dim: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Dimension rows of the products that changed (semi-join)."""
+    return dim.join(changed_products(dim, incoming).select("product_number"),
+                    "product_number", "left_semi")

@@ -13,6 +13,12 @@ from pyspark.sql import types as T
 from starloom.schemas import BRONZE_BUSINESS_COLUMNS
 
 
+# Text must survive a CSV round trip unchanged: keep edge whitespace, write
+# NULL as an empty field and an empty string as "".
+_CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False,
+                "ignoreTrailingWhiteSpace": False}
+
+
 def normalize_name(name: str) -> str:
     """Strip, space -> _, - -> _, upper."""
     return name.strip().replace(" ", "_").replace("-", "_").upper()
@@ -46,7 +52,7 @@ def read_sales_json(spark: SparkSession, path: str, lines: bool = True,
 
 def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     """S11 read side: bronze written as CSV, all columns as text."""
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = spark.read.options(**_CSV_OPTIONS).option("inferSchema", False).csv(path)
     return conform_to_bronze(normalize_columns(df))
 
 
@@ -74,13 +80,13 @@ def append_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     out = stamp_ingestion(df)
     writer = out.write.mode("append")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**_CSV_OPTIONS).csv(path)
     else:
         writer.parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     if fmt == "csv":
-        df = (spark.read.option("header", True).csv(path))
+        df = spark.read.options(**_CSV_OPTIONS).csv(path)
         return conform_to_bronze(df)
     return spark.read.parquet(path)
