@@ -26,7 +26,11 @@ def parse_order_date(col, formats=DEFAULT_DATE_FORMATS) -> Column:
     columns.  Parsing goes through the session zone and back, which is
     zone-neutral except inside DST gaps; sessions pin UTC.
     """
-    s = strip_unicode(punct_to_space(_c(col)))
+    return parse_order_date_stripped(strip_unicode(punct_to_space(_c(col))), formats)
+
+
+def parse_order_date_stripped(s: Column, formats=DEFAULT_DATE_FORMATS) -> Column:
+    """F5 on text that already had the punctuation/strip pass."""
     parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
     return parsed.cast("timestamp_ntz")
 

@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's cleaning rules:
 # each of , ; ? ( ) becomes one space; empty or missing text becomes "Not Provided".
-PUNCTUATION_CLASS = "[,;?()]"
+PUNCTUATION = ",;?()"
 NOT_PROVIDED = "Not Provided"
 
-# Whitespace as Python's str.strip() sees it: Unicode White_Space plus the
-# four ASCII separators U+001C..U+001F.  Spark's trim() only removes U+0020.
-_EDGE_WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters Python's str.strip() removes (str.isspace()),
+# in code-point order: U+0009-U+000D, U+001C-U+001F, U+0020, U+0085, U+00A0,
+# U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+# Spark's one-argument trim() removes U+0020 only.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _c(col) -> Column:
@@ -21,20 +27,19 @@ def _c(col) -> Column:
 
 def punct_to_space(col) -> Column:
     """replace each of , ; ? ( ) by one space (runs are not collapsed)."""
-    return F.regexp_replace(_c(col), PUNCTUATION_CLASS, " ")
+    return F.translate(_c(col), PUNCTUATION, " " * len(PUNCTUATION))
 
 
 def strip_unicode(col) -> Column:
-    """strip leading and trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), _EDGE_WS, "")
+    """strip leading and trailing whitespace (linear, no regex)."""
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def blank_to_not_provided(col) -> Column:
     """F3 + F4: empty string or NULL becomes "Not Provided"."""
-    c = _c(col)
-    return F.when(c.isNull() | (c == ""), F.lit(NOT_PROVIDED)).otherwise(c)
+    return F.coalesce(F.nullif(_c(col), F.lit("")), F.lit(NOT_PROVIDED))
 
 
 def clean_text(col) -> Column:
-    """F1 -> F2 -> F3/F4 in the reference's order (regex before strip)."""
+    """F1 -> F2 -> F3/F4 in the reference's order (punctuation before strip)."""
     return blank_to_not_provided(strip_unicode(punct_to_space(col)))

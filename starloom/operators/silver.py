@@ -9,14 +9,15 @@ stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame  # noqa: F401
 from pyspark.sql import functions as F
 
-from starloom.functions.dates import DEFAULT_DATE_FORMATS, parse_order_date
+from starloom.functions.dates import DEFAULT_DATE_FORMATS, parse_order_date_stripped
 from starloom.functions.numbers import (
-    is_whole, parse_double, parse_long, round_half_even_long,
+    double_of_stripped, exact_long_of_stripped, is_whole, round_half_even_long,
+    whole_to_long,
 )
-from starloom.functions.text import clean_text
+from starloom.functions.text import blank_to_not_provided, punct_to_space, strip_unicode
 from starloom.schemas import (
     BRONZE_BUSINESS_COLUMNS, BRONZE_TEXT_COLUMNS, SILVER, SILVER_RENAMES,
 )
@@ -34,26 +35,44 @@ def drop_exact_duplicates(bronze: DataFrame) -> DataFrame:
     return bronze.dropDuplicates(BRONZE_BUSINESS_COLUMNS)
 
 
-def typed_columns(has_ingestion: bool, date_formats=DEFAULT_DATE_FORMATS) -> list[Column]:
-    """Bronze text -> typed silver columns (still with bronze names)."""
-    q = parse_double("QUANTITY")
-    out = []
-    for c in BRONZE_BUSINESS_COLUMNS:
-        if c in BRONZE_TEXT_COLUMNS:
-            out.append(clean_text(c).alias(c))
-        elif c in ("PRODUCTKEY", "CUSTOMERKEY"):
-            out.append(parse_long(c).alias(c))
-        elif c == "ORDERDATE":
-            out.append(parse_order_date(c, date_formats).alias(c))
-        elif c == "QUANTITY":
-            # F8: only whole quantities become integers
-            out.append(F.when(is_whole(q), q.try_cast("bigint")).alias(c))
-            out.append((q.isNotNull() & ~is_whole(q)).alias("_fractional_qty"))
-        elif c == "NET_PRICE":
-            out.append(round_half_even_long(parse_double(c)).alias(c))
-    ingest = F.col("INGESTION_DATE") if has_ingestion else F.lit(None)
-    out.append(ingest.cast("timestamp").alias("INGESTION_DATE"))
-    return out
+def typed(src: DataFrame, date_formats=DEFAULT_DATE_FORMATS) -> DataFrame:
+    """Bronze text -> typed columns (bronze names), plus ``_fractional_qty``
+    and the raw text as ``_raw_<name>``.
+
+    Three stacked projections, so every string function runs once per cell:
+    Catalyst keeps them apart because the later steps use each expensive
+    result more than once (a single nested expression would repeat them).
+    """
+    keys = ("PRODUCTKEY", "CUSTOMERKEY")
+    nums = ("QUANTITY", "NET_PRICE")
+    raw = [F.col(c).alias(f"_raw_{c}") for c in BRONZE_BUSINESS_COLUMNS]
+    ingest = (F.col("INGESTION_DATE") if "INGESTION_DATE" in src.columns
+              else F.lit(None)).cast("timestamp").alias("INGESTION_DATE")
+    # 1: punctuation + strip for text and dates, strip for numbers
+    s1 = src.select(
+        *[strip_unicode(punct_to_space(c)).alias(c) for c in BRONZE_TEXT_COLUMNS],
+        strip_unicode(punct_to_space("ORDERDATE")).alias("ORDERDATE"),
+        *[strip_unicode(c).alias(c) for c in keys + nums],
+        ingest, *raw)
+    # 2: blanks, number and date parsing
+    s2 = s1.select(
+        *[blank_to_not_provided(c).alias(c) for c in BRONZE_TEXT_COLUMNS],
+        parse_order_date_stripped(F.col("ORDERDATE"), date_formats).alias("ORDERDATE"),
+        *[exact_long_of_stripped(F.col(c)).alias(f"_l_{c}") for c in keys],
+        *[double_of_stripped(F.col(c)).alias(f"_d_{c}") for c in keys + nums],
+        "INGESTION_DATE", *[f"_raw_{c}" for c in BRONZE_BUSINESS_COLUMNS])
+    # 3: whole-number checks and rounding
+    q = F.col("_d_QUANTITY")
+    cols = {
+        "PRODUCTKEY": F.coalesce("_l_PRODUCTKEY", whole_to_long(F.col("_d_PRODUCTKEY"))),
+        "CUSTOMERKEY": F.coalesce("_l_CUSTOMERKEY", whole_to_long(F.col("_d_CUSTOMERKEY"))),
+        "QUANTITY": whole_to_long(q),
+        "NET_PRICE": round_half_even_long(F.col("_d_NET_PRICE")),
+    }
+    return s2.select(
+        *[cols[c].alias(c) if c in cols else F.col(c) for c in BRONZE_BUSINESS_COLUMNS],
+        (q.isNotNull() & ~is_whole(q)).alias("_fractional_qty"),
+        "INGESTION_DATE", *[f"_raw_{c}" for c in BRONZE_BUSINESS_COLUMNS])
 
 
 def reject_reason(reject_non_positive: bool = False) -> Column:
@@ -77,17 +96,15 @@ def clean_sales_split(bronze: DataFrame, *, date_formats=DEFAULT_DATE_FORMATS,
     ``rejects`` keeps the raw bronze text of the row plus ``reject_reason``.
     """
     src = drop_exact_duplicates(bronze) if dedup else bronze
-    typed = src.select(
-        *typed_columns("INGESTION_DATE" in src.columns, date_formats),
-        *[F.col(c).alias(f"_raw_{c}") for c in BRONZE_BUSINESS_COLUMNS],
-    ).withColumn("reject_reason", reject_reason(reject_non_positive))
+    flagged = typed(src, date_formats).withColumn("reject_reason",
+                                                  reject_reason(reject_non_positive))
     silver = (
-        typed.filter(F.col("reject_reason").isNull())
+        flagged.filter(F.col("reject_reason").isNull())
         .withColumnsRenamed(SILVER_RENAMES)
         .withColumn("TRANSFORMED_DATE", F.current_timestamp())
         .select(*SILVER.fieldNames())
     )
-    rejects = typed.filter(F.col("reject_reason").isNotNull()).select(
+    rejects = flagged.filter(F.col("reject_reason").isNotNull()).select(
         *[F.col(f"_raw_{c}").alias(c) for c in BRONZE_BUSINESS_COLUMNS],
         "INGESTION_DATE", "reject_reason")
     return silver, rejects

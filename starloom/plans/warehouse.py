@@ -31,9 +31,12 @@ class BuildResult:
     metrics: DataFrame | None = None
 
 
-def _timed(metrics: quality.StepMetrics, store: TableStore, name: str, df: DataFrame,
+def _timed(metrics: quality.StepMetrics, store: TableStore, name: str, build,
            schema=None) -> DataFrame:
+    """Build (``build`` is a thunk: key assignment checkpoints while the
+    plan is built), write and read back one table, timing all of it."""
     started = time.time()
+    df = build() if callable(build) else build
     observed, obs = metrics.observed(df, name)
     out = store.write(observed, name, schema)
     metrics.record(name, obs, len(out.columns), started)
@@ -67,31 +70,35 @@ def build_warehouse(spark: SparkSession, raw_sales: DataFrame, root: str, *,
     s = t["silver_sales"]
 
     t["gold_dim_date"] = _timed(m, store, "gold_dim_date",
-                                dims.date_dimension(spark, date_start, date_end), DIM_DATE)
+                                lambda: dims.date_dimension(spark, date_start, date_end),
+                                DIM_DATE)
     t["gold_dim_location"] = _timed(m, store, "gold_dim_location",
-                                    dims.location_dimension(s), DIM_LOCATION)
+                                    lambda: dims.location_dimension(s), DIM_LOCATION)
     t["gold_dim_customer"] = _timed(m, store, "gold_dim_customer",
-                                    dims.customer_dimension(s), DIM_CUSTOMER)
+                                    lambda: dims.customer_dimension(s), DIM_CUSTOMER)
     t["gold_dim_year"] = _timed(m, store, "gold_dim_year",
-                                dims.year_dimension(t["gold_dim_date"]), DIM_YEAR)
+                                lambda: dims.year_dimension(t["gold_dim_date"]), DIM_YEAR)
     if previous_product_dim is None:
-        product = dims.product_dimension_initial(s)
+        product = lambda: dims.product_dimension_initial(s)
     else:
-        product = scd2.scd2_merge(previous_product_dim, s, effective_date)
+        product = lambda: scd2.scd2_merge(previous_product_dim, s, effective_date)
     t["gold_dim_product"] = _timed(m, store, "gold_dim_product", product, DIM_PRODUCT)
 
     t["gold_fact_sales"] = _timed(
         m, store, "gold_fact_sales",
-        facts.sales_fact(s, t["gold_dim_product"], t["gold_dim_customer"],
-                         t["gold_dim_location"], t["gold_dim_date"]), FACT_SALES)
+        lambda: facts.sales_fact(s, t["gold_dim_product"], t["gold_dim_customer"],
+                                 t["gold_dim_location"], t["gold_dim_date"]), FACT_SALES)
     t["gold_actual_sales_agg_fact"] = _timed(
         m, store, "gold_actual_sales_agg_fact",
-        facts.actual_sales_agg(t["gold_fact_sales"], t["gold_dim_product"],
-                               t["gold_dim_location"], t["gold_dim_date"]), FACT_ACTUAL_AGG)
+        lambda: facts.actual_sales_agg(t["gold_fact_sales"], t["gold_dim_product"],
+                                       t["gold_dim_location"], t["gold_dim_date"]),
+        FACT_ACTUAL_AGG)
     if forecast_records is not None:
-        fc = forecast_rows(forecast_records)
-        quality.assert_unique(fc, ["country_region", "brand", "year"], "gold_forecast")
-        t["gold_forecast"] = _timed(m, store, "gold_forecast", fc, FACT_FORECAST)
+        def forecast():
+            fc = forecast_rows(forecast_records)
+            quality.assert_unique(fc, ["country_region", "brand", "year"], "gold_forecast")
+            return fc
+        t["gold_forecast"] = _timed(m, store, "gold_forecast", forecast, FACT_FORECAST)
     metrics = m.to_df(spark)
     store.write(metrics, "run_metrics")
     return BuildResult(tables=t, metrics=metrics)
