@@ -6,6 +6,7 @@ cell never poisons its neighbours; typing happens in silver.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,10 +41,13 @@ def read_sales_json(spark: SparkSession, path: str, lines: bool = True,
     """A JSON array file (``lines=False``, read whole per file) or a
     JSON-lines folder (``lines=True``, split across tasks).  Nested values
     are rejected: bronze holds flat records only."""
-    df = (spark.read.option("primitivesAsString", True)
-          .option("multiLine", not lines)
-          .option("samplingRatio", sampling_ratio)
-          .json(path))
+    try:
+        df = (spark.read.option("primitivesAsString", True)
+              .option("multiLine", not lines)
+              .option("samplingRatio", sampling_ratio)
+              .json(path))
+    except AnalysisException as e:  # e.g. keys equal up to case
+        raise ValueError(f"unreadable sales records: {e}") from e
     nested = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]
     if nested:
         raise ValueError(f"nested values are not accepted in sales records: {nested}")
