@@ -141,6 +141,24 @@ def s11(spark, sf):
     return raw_cmp(read_bronze(spark, path, fmt="csv"))
 
 
+@query("s12_stream_ingest_bronze", O.compose(
+    "SELECT * EXCLUDE (NET_PRICE_D), NET_PRICE_D AS NET_PRICE, true AS stamped FROM raw", "raw"))
+def s12(spark, sf):
+    """Raw records land as two JSON-lines drops; a file stream appends each
+    file to bronze once (running the stream twice adds nothing)."""
+    from starloom.sources.driver_tables import SOURCE_NAMES
+    from starloom.streaming import ingest_sales_files
+    src, bronze, ckpt = (scratch_path(spark, n) for n in ("drop", "bronze", "stream-ckpt"))
+    first, second = split_by_order_date(_ctx(spark, sf).raw_source, BATCH_CUT)
+    for i, batch in enumerate((first, second)):
+        batch.write.json(f"{src}/drop={i}")
+        ingest_sales_files(spark, f"{src}/drop=*", bronze, ckpt, SOURCE_NAMES).awaitTermination()
+    ingest_sales_files(spark, f"{src}/drop=*", bronze, ckpt, SOURCE_NAMES).awaitTermination()
+    out = spark.read.parquet(bronze)
+    return out.select(*raw_cmp(out).columns, F.col("INGESTION_DATE").isNotNull().alias("stamped")) \
+        .withColumn("NET_PRICE", F.col("NET_PRICE").cast("double"))
+
+
 # ---------------------------------------------------------------- projections / filters
 @query("p01_rename_columns", O.compose(
     "SELECT CUSTOMER_KEY, ORDER_DATE, COUNTRY_REGION FROM silver", "silver"))
