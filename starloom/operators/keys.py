@@ -71,9 +71,13 @@ def with_unknown_member(dim: DataFrame, row: dict, key: str) -> DataFrame:
     return unknown.join(F.broadcast(present), key, "left_anti").unionByName(dim)
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; the probe stops
+    after ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast-hint ``df`` only after checking it has at most ``max_rows``
-    rows; otherwise leave the choice (shuffle join) to the planner/AQE.
-    The probe reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    rows; otherwise leave the choice (shuffle join, AQE) to the planner."""
+    return F.broadcast(df) if fits(df, max_rows) else df

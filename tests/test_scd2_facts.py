@@ -140,3 +140,16 @@ def test_forecast_vs_actual_full_outer(spark):
     assert rows[("FR", 2007)]["variance"] == 20.0 and rows[("FR", 2007)]["attainment"] == 1.25
     assert rows[("F.R", 2007)]["total_actual_sales"] is None
     assert rows[("FR", None)]["forecast"] is None
+
+
+def test_agg_forms_agree(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, 20070101, 10.0), (1, 1, 20070102, 5.0), (2, 1, -1, 7.0), (-1, 2, 20070101, None)],
+        "product_key long, location_key long, date_key int, total_amount double")
+    prod = spark.createDataFrame([(1, "B1"), (2, "B2"), (-1, None)], "product_key long, brand string")
+    loc = spark.createDataFrame([(1, "FR"), (2, "JP")], "location_key long, country_region string")
+    dd = spark.createDataFrame([(20070101, 2007), (20070102, 2007)], "date_key int, year int")
+    big = facts.actual_sales_agg(fact, prod, loc, dd, broadcast_max_rows=1)
+    small = facts.actual_sales_agg(fact, prod, loc, dd)
+    want = {("FR", "B1", 2007, 15.0), ("FR", "B2", None, 7.0), ("JP", None, 2007, None)}
+    assert {tuple(r) for r in big.collect()} == want == {tuple(r) for r in small.collect()}
