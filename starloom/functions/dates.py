@@ -23,16 +23,20 @@ def parse_order_date(col, formats=DEFAULT_DATE_FORMATS) -> Column:
     """text -> TIMESTAMP_NTZ, bad or missing -> NULL.
 
     The text first gets the same punctuation/strip pass as other text
-    columns.  Parsing goes through the session zone and back, which is
-    zone-neutral except inside DST gaps; sessions pin UTC.
+    columns.
     """
     return parse_order_date_stripped(strip_unicode(punct_to_space(_c(col))), formats)
 
 
 def parse_order_date_stripped(s: Column, formats=DEFAULT_DATE_FORMATS) -> Column:
-    """F5 on text that already had the punctuation/strip pass."""
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
-    return parsed.cast("timestamp_ntz")
+    """F5 on text that already had the punctuation/strip pass.
+
+    The formats decide which texts are accepted; the value itself comes from
+    a cast to TIMESTAMP_NTZ, which involves no time zone (a zone round trip
+    would move wall-clock times that fall into a DST gap of the session zone).
+    """
+    accepted = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).isNotNull()
+    return F.when(accepted, s.try_cast("timestamp_ntz"))
 
 
 def to_day(col) -> Column:

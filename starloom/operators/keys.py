@@ -7,14 +7,16 @@ no PARTITION BY does:
 1. range-partition on the full ordering and sort inside each partition,
    so partition i holds only keys below those of partition i+1 (equal
    ordering tuples always land in one partition);
-2. checkpoint that layout to the shared checkpoint folder, so row
-   positions are fixed even if an executor is lost and tasks rerun;
+2. write that layout, with each row's partition id and position as
+   columns, as a Parquet table under the shared checkpoint folder, so the
+   positions are fixed even if an executor is lost and tasks rerun (one
+   write; an eager ``checkpoint()`` would compute the input twice);
 3. count rows per partition (one row per partition: a proven size bound),
    prefix-sum the counts and broadcast them back;
 4. key = start + rows in earlier partitions + position inside the partition.
 
-Two range shuffles never happen: the count is a narrow aggregation over
-the checkpoint and the join with the offsets is a broadcast.
+The count is an aggregation over the staged table and the join with the
+offsets is a broadcast, so the data itself is shuffled once.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import scratch_path
 
 _PID, _MID, _OFF, _N = "_sl_pid", "_sl_mid", "_sl_off", "_sl_n"
 
@@ -38,15 +40,15 @@ def assign_keys(df: DataFrame, order_cols, key: str, start: int = 1) -> DataFram
     consecutive keys in an arbitrary but fixed order."""
     if key.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"key column {key!r} collides with an input column")
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     order = [_order(c) for c in order_cols]
-    staged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_MID, F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+    path = scratch_path(spark, "keys")
+    (df.repartitionByRange(*order)
+     .sortWithinPartitions(*order)
+     .withColumn(_PID, F.spark_partition_id())
+     .withColumn(_MID, F.monotonically_increasing_id())
+     .write.parquet(path))
+    staged = spark.read.parquet(path)
     counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

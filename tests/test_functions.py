@@ -73,3 +73,13 @@ def test_calendar_attributes(spark):
     assert tuple(rows[0]) == (20070101, "Monday, 01 January 2007", 1, 1, 1)
     assert rows[1][2] == 53 and rows[1][3] == 0
     assert rows[2][2] == 1 and rows[2][4] == 4
+
+
+def test_dates_do_not_depend_on_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = _one_col(spark, ["2007-03-11 02:30:00", "2007-03-11"])
+        got = [r[0] for r in df.select(fd.parse_order_date("x")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [dt.datetime(2007, 3, 11, 2, 30), dt.datetime(2007, 3, 11)]
