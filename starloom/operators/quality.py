@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.keys import broadcast_if_bounded
+
 
 def _amount(q: str, p: str):
     # computed in double: whole numbers stay exact below 2^53 and a wild
@@ -89,8 +91,10 @@ def null_count(df: DataFrame, column: str) -> DataFrame:
 
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
     """Child rows whose foreign key has no parent row (anti-join).
-    The parent side is reduced to distinct keys before the join."""
-    keys = parent.select(F.col(pk).alias("_pk")).distinct()
+    The parent side is reduced to distinct keys and broadcast when it passes
+    the size check, so a hot key on the child side (e.g. -1) never meets a
+    shuffle; otherwise AQE splits skewed partitions of the anti-join."""
+    keys = broadcast_if_bounded(parent.select(F.col(pk).alias("_pk")).distinct(), 5_000_000)
     orphans = child.select(fk).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(
         F.lit(name).alias("foreign_key"), "orphan_rows")
