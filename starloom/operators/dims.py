@@ -40,10 +40,13 @@ def _as_date(d) -> dt.date:
 
 
 def date_dimension(spark: SparkSession, start=REFERENCE_DATE_START,
-                   end=REFERENCE_DATE_END, unknown: bool = False) -> DataFrame:
+                   end=REFERENCE_DATE_END, unknown: bool = False,
+                   holidays: DataFrame | None = None) -> DataFrame:
     """One row per day in [start, end] (F9-F14), generated by
     ``spark.range`` so the rows are produced in parallel.  ``unknown=True``
-    adds the optional unknown day row (C12)."""
+    adds the optional unknown day row (C12).  ``holidays`` (a DataFrame with
+    a ``date`` column) sets ``is_holiday = 1`` on those days (P10); without
+    it every day is 0, as in the reference."""
     s, e = _as_date(start), _as_date(end)
     n = (e - s).days + 1
     d = F.date_add(F.lit(s), F.col("id").cast("int"))
@@ -60,6 +63,12 @@ def date_dimension(spark: SparkSession, start=REFERENCE_DATE_START,
         F.lit(0).alias("is_holiday"),  # P10: no holiday calendar
         is_weekday("date").alias("is_weekday"),
     )
+    if holidays is not None:
+        # one row per calendar day at most: bounded by the date range
+        marks = holidays.select(F.to_date("date").alias("_h")).distinct()
+        out = (out.join(F.broadcast(marks), F.col("date") == F.col("_h"), "left")
+               .withColumn("is_holiday", F.col("_h").isNotNull().cast("int"))
+               .drop("_h"))
     if unknown:
         # the reference's (commented-out) unknown day, kept verbatim as fixed values
         row = {"date_key": 20061231, "date": dt.date(2006, 1, 31),
