@@ -3,13 +3,13 @@
 Per-cell semantics: a bad number or date becomes NULL for that cell only.
 A fractional quantity is never truncated; the row goes to the rejects
 (dead letter) with a reason.  Optionally (P9) non-positive quantities or
-prices are rejected too.  Everything is one projection over bronze, so it
-stays inside whole-stage codegen.
+prices are rejected too.  After the de-duplication shuffle everything is
+narrow projections and filters, inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import DEFAULT_DATE_FORMATS, parse_order_date_stripped

@@ -37,15 +37,23 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def read_sales_json(spark: SparkSession, path: str, lines: bool = True,
-                    sampling_ratio: float = 1.0) -> DataFrame:
+                    sampling_ratio: float = 1.0, names: list[str] | None = None) -> DataFrame:
     """A JSON array file (``lines=False``, read whole per file) or a
-    JSON-lines folder (``lines=True``, split across tasks).  Nested values
-    are rejected: bronze holds flat records only."""
-    try:
-        df = (spark.read.option("primitivesAsString", True)
+    JSON-lines folder (``lines=True``, split across tasks).
+
+    Without ``names`` the field names are inferred (one extra pass, or a
+    sample with ``sampling_ratio``) and nested values are rejected: bronze
+    holds flat records only.  With ``names`` (the source field names) there
+    is no inference pass; every field is read as text, and a nested value
+    then arrives as its JSON text."""
+    reader = (spark.read.option("primitivesAsString", True)
               .option("multiLine", not lines)
-              .option("samplingRatio", sampling_ratio)
-              .json(path))
+              .option("samplingRatio", sampling_ratio))
+    if names is not None:
+        reader = reader.schema(T.StructType([T.StructField(n, T.StringType(), True)
+                                             for n in names]))
+    try:
+        df = reader.json(path)
     except AnalysisException as e:  # e.g. keys equal up to case
         raise ValueError(f"unreadable sales records: {e}") from e
     nested = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]

@@ -102,3 +102,10 @@ def test_forecast_json_array(spark, tmp_root):
     assert fc.columns == ["country_region", "brand", "forecast", "year"]
     assert tuple(fc.first()) == ("FR", "B", 1.5, 2007)
     assert fc.filter(F.col("year") == 2007).count() == 1
+
+
+def test_json_with_given_names_skips_inference(spark, tmp_root):
+    p = _write(os.path.join(tmp_root, "n.json"), [RECORD])
+    df = read_sales_json(spark, p, lines=False, names=list(RECORD))
+    assert df.columns == BRONZE_BUSINESS_COLUMNS
+    assert df.first()["QUANTITY"] == "2" and df.first()["NET_PRICE"] == "2.5"
