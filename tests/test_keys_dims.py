@@ -103,3 +103,22 @@ def test_location_dimension(spark):
     loc = dims.location_dimension(_silver(spark, rows))
     got = sorted((r["location_key"], r["continent"], r["city"]) for r in loc.collect())
     assert got == [(-1, "Unknown", "Unknown"), (1, "AS", "Tokyo"), (2, "EU", "Paris")]
+
+
+def test_assign_keys_spreads_a_hot_tie_group(spark):
+    # a third of the rows share the ordering columns; a tie-breaker column
+    # spreads them over several range partitions and the keys stay dense
+    hot = [(1, i) for i in range(3000)]
+    rest = [(k, i) for k, i in zip(range(2, 6002), range(3000, 9000))]
+    df = spark.createDataFrame(hot + rest, "k int, tie int").repartition(8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = assign_keys(df, ["k", "tie"], "key")
+        per_part = out.groupBy(F.spark_partition_id()).count().collect()
+        keys = sorted(r["key"] for r in out.select("key").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert keys == list(range(1, 9001))
+    hot_keys = sorted(r["key"] for r in out.filter("k = 1").collect())
+    assert hot_keys == list(range(1, 3001))
+    assert len(per_part) > 1
