@@ -89,6 +89,12 @@ def null_count(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.count(F.when(F.col(column).isNull(), 1)).alias("null_rows"))
 
 
+def assert_not_null(df: DataFrame, column: str, what: str = "table") -> None:
+    """A10 as a guard: raise if a NOT NULL column holds a NULL."""
+    if not df.filter(F.col(column).isNull()).limit(1).isEmpty():
+        raise ValueError(f"{what}: NULL in NOT NULL column {column}")
+
+
 def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
     """Child rows whose foreign key has no parent row (anti-join).
     The parent side is reduced to distinct keys and broadcast when it passes

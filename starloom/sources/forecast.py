@@ -22,3 +22,12 @@ def forecast_rows(records: DataFrame) -> DataFrame:
         F.col("forecast").cast("double").alias("forecast"),
         F.col("year").cast("int").alias("year"),
     )
+
+
+def load_forecast(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Forecast records -> forecast fact rows, failing on a duplicate
+    (country_region, brand, year) as the declared primary key would."""
+    from starloom.operators.quality import assert_unique
+    rows = forecast_rows(read_forecast_json(spark, path, lines))
+    assert_unique(rows, ["country_region", "brand", "year"], "gold_forecast")
+    return rows

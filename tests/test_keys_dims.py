@@ -122,3 +122,15 @@ def test_assign_keys_spreads_a_hot_tie_group(spark):
     hot_keys = sorted(r["key"] for r in out.filter("k = 1").collect())
     assert hot_keys == list(range(1, 3001))
     assert len(per_part) > 1
+
+
+def test_year_not_null_guard(spark):
+    from starloom.operators.quality import assert_not_null
+    y = dims.year_dimension(dims.date_dimension(spark, "2007-01-01", "2007-12-31"))
+    assert_not_null(y, "YEAR")
+    bad = spark.createDataFrame([(1, None)], "YEAR_KEY int, YEAR int")
+    try:
+        assert_not_null(bad, "YEAR")
+    except ValueError:
+        return
+    raise AssertionError("NULL YEAR must fail")

@@ -109,3 +109,13 @@ def test_json_with_given_names_skips_inference(spark, tmp_root):
     df = read_sales_json(spark, p, lines=False, names=list(RECORD))
     assert df.columns == BRONZE_BUSINESS_COLUMNS
     assert df.first()["QUANTITY"] == "2" and df.first()["NET_PRICE"] == "2.5"
+
+
+def test_load_forecast_rejects_duplicates(spark, tmp_root):
+    from starloom.sources.forecast import load_forecast
+    rec = {"countryRegion": "FR", "brand": "B", "year": 2007, "forecast": 1.5}
+    ok = _write(os.path.join(tmp_root, "ok.json"), [rec])
+    assert load_forecast(spark, ok, lines=False).count() == 1
+    dup = _write(os.path.join(tmp_root, "dup.json"), [rec, dict(rec, forecast=2.0)])
+    with pytest.raises(ValueError):
+        load_forecast(spark, dup, lines=False)
