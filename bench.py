@@ -39,6 +39,9 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage/task timings for tools/stage_times.py
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.compress": "false",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     if not os.environ.get("SPARK_CONF_DIR") and not _has_checkpoint_default():
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-ckpt-")
     spark = build_session(f"local[{cpus}]", "starloom-bench", shuffle_partitions=cpus * 2,
@@ -46,6 +49,7 @@ def main() -> None:
     root = scratch_path(spark, "bench-warehouse")
     timings: dict[str, float] = {}
     t_all = time.time()
+    sc = spark.sparkContext
 
     raw = raw_sales_records(spark, sf_dir, DUPLICATE_EVERY, RETAIL_PRICE_EVERY)
     forecast = None  # built from the first run's actuals below

@@ -36,6 +36,7 @@ def _timed(metrics: quality.StepMetrics, store: TableStore, name: str, build,
     """Build (``build`` is a thunk: key assignment checkpoints while the
     plan is built), write and read back one table, timing all of it."""
     started = time.time()
+    store.spark.sparkContext.setJobDescription(name)
     df = build() if callable(build) else build
     observed, obs = metrics.observed(df, name)
     out = store.write(observed, name, schema)
