@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, full_date_description, is_weekday
-from starloom.operators.keys import assign_keys, with_unknown_member
+from starloom.operators.keys import assign_keys, broadcast_if_bounded, with_unknown_member
 from starloom.schemas import DIM_PRODUCT
 
 # The reference's date range, open end date and fallback begin date.
@@ -64,9 +64,9 @@ def date_dimension(spark: SparkSession, start=REFERENCE_DATE_START,
         is_weekday("date").alias("is_weekday"),
     )
     if holidays is not None:
-        # one row per calendar day at most: bounded by the date range
-        marks = holidays.select(F.to_date("date").alias("_h")).distinct()
-        out = (out.join(F.broadcast(marks), F.col("date") == F.col("_h"), "left")
+        marks = broadcast_if_bounded(
+            holidays.select(F.to_date("date").alias("_h")).distinct(), 1_000_000)
+        out = (out.join(marks, F.col("date") == F.col("_h"), "left")
                .withColumn("is_holiday", F.col("_h").isNotNull().cast("int"))
                .drop("_h"))
     if unknown:

@@ -19,8 +19,8 @@ from starloom.functions import dates as fd
 from starloom.functions import numbers as fn
 from starloom.functions import text as ft
 from starloom.operators import dims, quality, scd2
-from starloom.operators.facts import forecast_vs_actual
-from starloom.operators.keys import with_unknown_member
+from starloom.operators.facts import BROADCAST_MAX_ROWS, forecast_vs_actual
+from starloom.operators.keys import broadcast_if_bounded, with_unknown_member
 from starloom.operators.silver import drop_exact_duplicates, split_dead_letter
 from starloom.plans import oracle as O
 from starloom.plans.context import BATCH_CUT, context
@@ -275,7 +275,8 @@ SELECT s.ORDER_DATE, CAST(coalesce(d.date_key, -1) AS INTEGER) AS date_key
 FROM silver s LEFT JOIN ddim d ON CAST(d.date AS TIMESTAMP) = s.ORDER_DATE""", "silver", "ddim"))
 def j03(spark, sf):
     ctx = _ctx(spark, sf)
-    d = F.broadcast(ctx.date_dim.select(F.col("date_key").alias("_k"), F.col("date").alias("_d")))
+    d = broadcast_if_bounded(
+        ctx.date_dim.select(F.col("date_key").alias("_k"), F.col("date").alias("_d")), BROADCAST_MAX_ROWS)
     return (ctx.silver.select("ORDER_DATE")
             .join(d, F.col("ORDER_DATE") == F.col("_d").cast("timestamp_ntz"), "left")
             .select("ORDER_DATE", F.coalesce("_k", F.lit(-1)).cast("int").alias("date_key")))
@@ -345,7 +346,8 @@ def j09(spark, sf):
     return (ctx.fact.select("transaction_key", "product_key", "location_key", "date_key")
             .join(ctx.product_dim.select("product_key", "brand"), "product_key", "left")
             .join(ctx.location_dim.select("location_key", "country_region"), "location_key", "left")
-            .join(F.broadcast(ctx.date_dim.select("date_key", "year")), "date_key", "left")
+            .join(broadcast_if_bounded(ctx.date_dim.select("date_key", "year"), BROADCAST_MAX_ROWS),
+                  "date_key", "left")
             .select("transaction_key", "brand", "country_region", "year"))
 
 
@@ -389,7 +391,8 @@ def a04(spark, sf):
     ctx = _ctx(spark, sf)
     return (ctx.fact.join(ctx.product_dim.select("product_key", "brand"), "product_key", "left")
             .join(ctx.location_dim.select("location_key", "country_region"), "location_key", "left")
-            .join(F.broadcast(ctx.date_dim.select("date_key", "year")), "date_key", "left")
+            .join(broadcast_if_bounded(ctx.date_dim.select("date_key", "year"), BROADCAST_MAX_ROWS),
+                  "date_key", "left")
             .groupBy("country_region", "brand", "year")
             .agg(F.sum("total_amount").alias("total_actual_sales")))
 

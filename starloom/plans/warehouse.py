@@ -41,6 +41,7 @@ def _timed(metrics: quality.StepMetrics, store: TableStore, name: str, build,
     observed, obs = metrics.observed(df, name)
     out = store.write(observed, name, schema)
     metrics.record(name, obs, len(out.columns), started)
+    store.spark.sparkContext.setJobDescription(None)
     return out
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.keys import broadcast_if_bounded
+
 # Fixed values of the raw-record layout: source field names in source order.
 SOURCE_NAMES = [
     "ProductKey", "Product Name", "Brand", "Color", "Subcategory", "Category",
@@ -41,9 +43,9 @@ def raw_sales_records(spark: SparkSession, sf_dir: str, duplicate_every: int = 2
     pa = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
-    # nation and region are fixed-size reference tables (25 and 5 rows)
-    geo = na.join(F.broadcast(rg), na.n_regionkey == rg.r_regionkey)
-    cust = cu.join(F.broadcast(geo), cu.c_nationkey == geo.n_nationkey)
+    # nation and region are small reference tables; broadcast after a size check
+    geo = na.join(broadcast_if_bounded(rg, 100_000), na.n_regionkey == rg.r_regionkey)
+    cust = cu.join(broadcast_if_bounded(geo, 100_000), cu.c_nationkey == geo.n_nationkey)
     j = (li.join(od, li.l_orderkey == od.o_orderkey)
          .join(cust, od.o_custkey == cust.c_custkey)
          .join(pa, li.l_partkey == pa.p_partkey))
