@@ -67,7 +67,10 @@ def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFram
         F.coalesce(F.col("_d_key"), F.lit(-1)).cast("int").alias("date_key"),
         F.col("QUANTITY").alias("quantity"),
         F.col("NET_PRICE").cast("double").alias("net_price"),
-        (F.col("QUANTITY") * F.col("NET_PRICE")).cast("double").alias("total_amount"),
+        # in double: exact for whole amounts below 2^53, and a wild value
+        # cannot overflow a long and fail the job under ANSI mode
+        (F.col("QUANTITY").cast("double") * F.col("NET_PRICE").cast("double"))
+        .alias("total_amount"),
     )
     keyed = assign_keys(unkeyed, ["ORDER_DATE", "product_key", "customer_key",
                                   "location_key", "quantity", "net_price", "_tie"],

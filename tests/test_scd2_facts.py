@@ -153,3 +153,20 @@ def test_agg_forms_agree(spark):
     small = facts.actual_sales_agg(fact, prod, loc, dd)
     want = {("FR", "B1", 2007, 15.0), ("FR", "B2", None, 7.0), ("JP", None, 2007, None)}
     assert {tuple(r) for r in big.collect()} == want == {tuple(r) for r in small.collect()}
+
+
+def test_amount_does_not_overflow(spark):
+    silver = spark.createDataFrame(
+        [(1, "C1", "EU", "FR", "P", "S", dt.datetime(2007, 1, 2), 2**40, 2**40)],
+        "PRODUCTKEY long, CUSTOMER_CODE string, CONTINENT string, COUNTRY_REGION string, "
+        "CITY string, STATE string, ORDER_DATE timestamp_ntz, QUANTITY long, NET_PRICE long")
+    prod = spark.createDataFrame([(1, 1, dt.date(2007, 1, 1), dt.date(9999, 12, 31))],
+                                 "product_key long, product_number long, "
+                                 "change_begin_date date, change_end_date date")
+    cust = spark.createDataFrame([(5, "C1")], "customer_key long, customer_code string")
+    loc = spark.createDataFrame([(7, "EU", "FR", "S", "P")],
+                                "location_key long, continent string, country_region string, "
+                                "state string, city string")
+    dd = dims.date_dimension(spark, "2007-01-01", "2007-01-03")
+    row = facts.sales_fact(silver, prod, cust, loc, dd).first()
+    assert row["total_amount"] == float(2**80)
