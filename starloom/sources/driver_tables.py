@@ -53,9 +53,9 @@ def raw_sales_records(spark: SparkSession, sf_dir: str, duplicate_every: int = 2
     k = F.col("c_custkey")
     if retail_price_every:
         unit = F.when(F.col("p_partkey") % retail_price_every == 0, F.col("p_retailprice")) \
-            .otherwise(F.col("l_extendedprice") / F.col("l_quantity"))
+            .otherwise(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")))
     else:
-        unit = F.col("l_extendedprice") / F.col("l_quantity")
+        unit = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     values = [
         F.col("p_partkey").cast("string"),
         F.col("p_name"),
