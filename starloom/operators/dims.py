@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_key, full_date_description, is_weekday
-from starloom.operators.keys import assign_keys, broadcast_if_bounded, with_unknown_member
-from starloom.schemas import DIM_PRODUCT
+from starloom.operators.keys import (
+    assign_keys, broadcast_if_bounded, literal_row, with_unknown_member,
+)
+from starloom.schemas import DIM_PRODUCT, DIM_YEAR
 
 # The reference's date range, open end date and fallback begin date.
 REFERENCE_DATE_START = "2007-01-01"
@@ -84,7 +86,7 @@ def year_dimension(date_dim: DataFrame) -> DataFrame:
     years = (date_dim.filter(F.col("year").isNotNull() & (F.col("year") != -1))
              .select(F.col("year").alias("YEAR_KEY"), F.col("year").alias("YEAR"))
              .distinct())
-    unknown = date_dim.sparkSession.createDataFrame([(-1, 9999)], "YEAR_KEY int, YEAR int")
+    unknown = literal_row(date_dim.sparkSession, DIM_YEAR, {"YEAR_KEY": -1, "YEAR": 9999})
     return unknown.unionByName(years)
 
 

@@ -65,14 +65,19 @@ def with_unknown_member(dim: DataFrame, row: dict, key: str) -> DataFrame:
     """J8 + W6: add the unknown row (key -1 by convention) unless a row with
     that key already exists.  The existence probe is capped at one row, so
     the anti-join's build side has a proven size of one."""
-    spark = dim.sparkSession
-    values = [row.get(f.name) for f in dim.schema.fields]
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in dim.schema.fields])
-    unknown = spark.createDataFrame([tuple(values)], schema=nullable)
+    unknown = literal_row(dim.sparkSession, dim.schema, row)
     present = dim.filter(F.col(key) == F.lit(row[key])).select(key).limit(1)
     return unknown.join(F.broadcast(present), key, "left_anti").unionByName(dim)
 
 
+def literal_row(spark, schema: T.StructType, values: dict) -> DataFrame:
+    """One row of literals with ``schema``'s names and types, built on the
+    JVM side (``createDataFrame`` from a Python list would start a Python
+    worker in every slice it is parallelised into)."""
+    return spark.range(1).select(*[
+        F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; the probe stops
     after ``max_rows + 1`` rows."""

@@ -12,8 +12,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.operators.keys import broadcast_if_bounded
+from starloom.operators.keys import broadcast_if_bounded, literal_row
 
 
 def _amount(q: str, p: str):
@@ -163,5 +164,14 @@ class StepMetrics:
                           float(time.time() - started)))
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.rows, "step string, records long, columns int, seconds double")
+        """The collected metrics as a small DataFrame (literal rows, built
+        without a Python worker)."""
+        schema = T.StructType([T.StructField("step", T.StringType()),
+                               T.StructField("records", T.LongType()),
+                               T.StructField("columns", T.IntegerType()),
+                               T.StructField("seconds", T.DoubleType())])
+        parts = [literal_row(spark, schema, dict(zip(schema.fieldNames(), r))) for r in self.rows]
+        if not parts:
+            return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                           for f in schema.fields])
+        return reduce(DataFrame.unionByName, parts)

@@ -91,7 +91,8 @@ class TableStore:
         out = {}
         for tables in LAYERS.values():
             for name, schema in tables.items():
-                empty = self.spark.createDataFrame([], schema)
+                empty = self.spark.range(0).select(*[
+                    F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
                 out[name] = self.write(empty, name)
         return out
 
