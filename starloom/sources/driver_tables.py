@@ -35,6 +35,13 @@ def raw_sales_records(spark: SparkSession, sf_dir: str, duplicate_every: int = 2
     (0 disables)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    # A file stored as one row group scans as one task, and every join and
+    # text conversion below would then run in that task.  Only when the scan
+    # has fewer partitions than the cluster has cores, spread it by the next
+    # join key (a deterministic hash, safe to recompute).
+    target = spark.sparkContext.defaultParallelism * 2
+    if li.rdd.getNumPartitions() < target:
+        li = li.repartition(target, "l_orderkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cu = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
