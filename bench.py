@@ -60,6 +60,7 @@ def main() -> None:
     t = res.tables
 
     # forecast published from actuals, loaded through JSON lines
+    sc.setJobDescription("gold_forecast")
     t0 = time.time()
     path = scratch_path(spark, "bench-forecast")
     (t["gold_actual_sales_agg_fact"].filter(F.col("year") < FORECAST_BEFORE_YEAR)
@@ -73,10 +74,12 @@ def main() -> None:
     forecast = store.write(forecast, "gold_forecast")
     timings["gold_forecast"] = round(time.time() - t0, 3)
 
+    sc.setJobDescription("forecast_vs_actual")
     t0 = time.time()
     forecast_vs_actual(t["gold_actual_sales_agg_fact"], forecast).collect()
     timings["forecast_vs_actual"] = round(time.time() - t0, 3)
 
+    sc.setJobDescription("reconcile")
     t0 = time.time()
     quality.reconcile(t["silver_sales"], t["gold_fact_sales"],
                       t["gold_actual_sales_agg_fact"]).collect()
@@ -85,6 +88,7 @@ def main() -> None:
     timings["reconcile"] = round(time.time() - t0, 3)
 
     # second load: SCD2 merge of the later orders into a first-batch dimension
+    sc.setJobDescription("scd2_merge")
     t0 = time.time()
     silver = t["silver_sales"]
     cut = F.lit(BATCH_CUT).cast("timestamp_ntz")
@@ -96,6 +100,7 @@ def main() -> None:
                          "bench_dim_product_merged")
     timings["scd2_merge"] = round(time.time() - t0, 3)
 
+    sc.setJobDescription("scd2_lookup_and_fanout")
     t0 = time.time()
     scd2.scd2_lookup(silver.select("PRODUCTKEY", "ORDER_DATE"), merged) \
         .groupBy("product_key").count().collect()

@@ -24,14 +24,17 @@ def _lines(path: str):
             yield from open(f)
 
 
-def main(path: str) -> None:
+def main(path: str, detail: str | None = None) -> None:
     jobs, stages = {}, {}
     for line in _lines(path):
         e = json.loads(line)
         ev = e.get("Event")
         if ev == "SparkListenerJobStart":
             desc = (e.get("Properties") or {}).get("spark.job.description") or "-"
-            jobs[e["Job ID"]] = {"desc": desc, "stages": e["Stage IDs"], "t0": e["Submission Time"]}
+            infos = e.get("Stage Infos") or []
+            name = infos[-1]["Stage Name"] if infos else ""
+            jobs[e["Job ID"]] = {"desc": desc, "stages": e["Stage IDs"], "t0": e["Submission Time"],
+                                 "name": name}
         elif ev == "SparkListenerJobEnd":
             jobs[e["Job ID"]]["ms"] = e["Completion Time"] - jobs[e["Job ID"]]["t0"]
         elif ev == "SparkListenerStageCompleted":
@@ -39,6 +42,15 @@ def main(path: str) -> None:
             acc = {a["Name"]: a.get("Value") for a in si.get("Accumulables", [])}
             stages[si["Stage ID"]] = (si["Number of Tasks"],
                                       int(acc.get("internal.metrics.executorCpuTime", 0) or 0) // 10**6)
+    if detail:
+        for j in sorted(jobs):
+            d = jobs[j]
+            if d["desc"] == detail:
+                tasks = sum(stages[s][0] for s in d["stages"] if s in stages)
+                cpu = sum(stages[s][1] for s in d["stages"] if s in stages)
+                print(f"job {j:4d} {d.get('ms', 0):7d} ms tasks {tasks:4d} cpu {cpu:6d} "
+                      f"{d.get('name', '')[:60]}")
+        return
     per = collections.OrderedDict()
     for j in sorted(jobs):
         d = jobs[j]
@@ -55,4 +67,4 @@ def main(path: str) -> None:
 
 
 if __name__ == "__main__":
-    main(sys.argv[1])
+    main(sys.argv[1], sys.argv[2] if len(sys.argv) > 2 else None)
