@@ -63,3 +63,16 @@ def test_date_grain_day_and_holidays(spark):
     assert exact["date_key"] == -1 and by_day["date_key"] == 20070102
     assert (by_day["product_key"], by_day["customer_key"], by_day["location_key"]) == (1, 5, 7)
     assert by_day["total_amount"] == 6.0
+
+
+def test_reloading_the_same_batch_changes_nothing_downstream(spark, tmp_root):
+    raw = raw_sales_records(spark, SF_SMALL)
+    root = os.path.join(tmp_root, "wh2")
+    kw = dict(date_start="1995-01-01", date_end="2001-12-31")
+    r1 = build_warehouse(spark, raw, root, **kw)
+    silver1 = r1.tables["silver_sales"].count()
+    agg1 = {tuple(r) for r in r1.tables["gold_actual_sales_agg_fact"].collect()}
+    r2 = build_warehouse(spark, raw, root, **kw)      # bronze now holds every row twice
+    assert r2.tables["bronze_sales"].count() == 2 * raw.count()
+    assert r2.tables["silver_sales"].count() == silver1
+    assert {tuple(r) for r in r2.tables["gold_actual_sales_agg_fact"].collect()} == agg1
