@@ -170,3 +170,47 @@ def test_amount_does_not_overflow(spark):
     dd = dims.date_dimension(spark, "2007-01-01", "2007-01-03")
     row = facts.sales_fact(silver, prod, cust, loc, dd).first()
     assert row["total_amount"] == float(2**80)
+
+
+def test_random_merges_keep_invariants(spark):
+    import random
+    rnd = random.Random(11)
+    dim = None
+    seen_keys = {}
+    for load in range(3):
+        eff = dt.date(2008 + load, 1, 1)
+        rows = []
+        for _ in range(60):
+            pn = rnd.choice([None, *range(12)])
+            # the first load keeps every attribute set of a product as a current
+            # version (as the reference does), so it gets one set per product;
+            # later loads may send several and the merge keeps the latest
+            color = ["red", "blue", None][pn % 3 if pn is not None else 0] if load == 0 \
+                else rnd.choice(["red", "blue", None])
+            rows.append((pn, f"p{pn}", color, "B", "S", "Small",
+                         rnd.choice([None, 1, 2, 3]),
+                         dt.datetime(2007 + load, rnd.randint(1, 12), rnd.randint(1, 28))))
+        batch = spark.createDataFrame(rows, COLS)
+        dim = (dims.product_dimension_initial(batch) if dim is None
+               else scd2.scd2_merge(dim, batch, eff))
+        dim = spark.createDataFrame(dim.collect(), dim.schema)   # cut lineage for the test
+        out = dim.collect()
+        # surrogate keys unique and stable across loads
+        keys = [r["product_key"] for r in out]
+        assert len(keys) == len(set(keys))
+        for r in out:
+            if r["product_key"] in seen_keys:
+                assert seen_keys[r["product_key"]] == r["product_number"]
+            seen_keys[r["product_key"]] = r["product_number"]
+        # after a merge: one current version per product and no overlapping validity
+        if load:
+            by = {}
+            for r in out:
+                if r["product_number"] is not None:
+                    by.setdefault(r["product_number"], []).append(r)
+            for vs in by.values():
+                assert sum(v["is_current"] for v in vs) == 1
+                spans = sorted((v["change_begin_date"], v["change_end_date"]) for v in vs)
+                assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+            again = scd2.scd2_merge(dim, batch, eff).collect()
+            assert sorted(map(tuple, again), key=str) == sorted(map(tuple, out), key=str)
