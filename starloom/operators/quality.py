@@ -102,7 +102,9 @@ def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str
     the size check, so a hot key on the child side (e.g. -1) never meets a
     shuffle; otherwise AQE splits skewed partitions of the anti-join."""
     keys = broadcast_if_bounded(parent.select(F.col(pk).alias("_pk")).distinct(), 5_000_000)
-    orphans = child.select(fk).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
+    # as with a declared foreign key, a NULL reference is not an orphan
+    orphans = (child.select(fk).filter(F.col(fk).isNotNull())
+               .join(keys, F.col(fk) == F.col("_pk"), "left_anti"))
     return orphans.agg(F.count(F.lit(1)).alias("orphan_rows")).select(
         F.lit(name).alias("foreign_key"), "orphan_rows")
 
@@ -118,6 +120,15 @@ def fact_orphans(fact: DataFrame, product: DataFrame, customer: DataFrame,
     ])
 
 
+def year_orphans(agg: DataFrame, forecast: DataFrame, year_dim: DataFrame) -> DataFrame:
+    """J11 for the yearly facts: aggregate and forecast years without a row
+    in the year dimension."""
+    return reduce(DataFrame.unionByName, [
+        orphan_rows(agg, "year", year_dim, "YEAR", "gold_actual_sales_agg_fact.year"),
+        orphan_rows(forecast, "year", year_dim, "YEAR", "gold_forecast.year"),
+    ])
+
+
 def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
     # both sides are single-row global aggregates; zip them on a constant key
     return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")

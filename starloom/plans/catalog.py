@@ -69,6 +69,10 @@ def _store(spark, name):
     return TableStore(spark, scratch_path(spark, name))
 
 
+_YDIM_D = ("SELECT -1 AS YEAR_KEY, 9999 AS YEAR UNION ALL SELECT DISTINCT year, year FROM ddim "
+           "WHERE year IS NOT NULL AND year <> -1")
+
+
 # ---------------------------------------------------------------- sources / sinks
 @query("s01_read_sales_json", O.compose(_RAW_CMP_SQL.format(src="raw"), "raw"))
 def s01(spark, sf):
@@ -367,6 +371,18 @@ def j11(spark, sf):
                                 ctx.location_dim, ctx.date_dim)
 
 
+@query("j11b_year_foreign_keys", O.compose(f"""
+SELECT 'gold_actual_sales_agg_fact.year' AS foreign_key, count(*) AS orphan_rows FROM agg a
+  WHERE a.year IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({_YDIM_D}) y WHERE y.YEAR = a.year)
+UNION ALL SELECT 'gold_forecast.year', count(*) FROM forecast f
+  WHERE f.year IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({_YDIM_D}) y WHERE y.YEAR = f.year)""",
+    "agg", "forecast", "ddim"))
+def j11b(spark, sf):
+    ctx = _ctx(spark, sf)
+    return quality.year_orphans(ctx.agg, forecast_rows(ctx.forecast_records),
+                                dims.year_dimension(ctx.date_dim))
+
+
 # ---------------------------------------------------------------- aggregation
 @query("a01_drop_duplicates", O.compose(_RAW_CMP_SQL.format(src="dedup"), "dedup"))
 def a01(spark, sf):
