@@ -72,7 +72,12 @@ def test_reloading_the_same_batch_changes_nothing_downstream(spark, tmp_root):
     r1 = build_warehouse(spark, raw, root, **kw)
     silver1 = r1.tables["silver_sales"].count()
     agg1 = {tuple(r) for r in r1.tables["gold_actual_sales_agg_fact"].collect()}
-    r2 = build_warehouse(spark, raw, root, **kw)      # bronze now holds every row twice
+    fc = spark.createDataFrame([("NATION_0", "Brand#1", 1997, 10.0)],
+                               "countryRegion string, brand string, year int, forecast double")
+    r2 = build_warehouse(spark, raw, root, forecast_records=fc, **kw)  # bronze holds rows twice
     assert r2.tables["bronze_sales"].count() == 2 * raw.count()
     assert r2.tables["silver_sales"].count() == silver1
     assert {tuple(r) for r in r2.tables["gold_actual_sales_agg_fact"].collect()} == agg1
+    assert [tuple(r) for r in r2.tables["gold_forecast"].collect()] == [
+        ("NATION_0", "Brand#1", 10.0, 1997)]
+    assert "gold_forecast" in {r["step"] for r in r2.metrics.collect()}
