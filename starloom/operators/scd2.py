@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.dims import (
-    OPEN_END_DATE, PRODUCT_ATTRS, PRODUCT_ORDER, first_order_day, product_versions,
+    OPEN_END_DATE, PRODUCT_ATTRS, first_order_day, product_versions,
 )
 from starloom.operators.keys import assign_keys
 from starloom.schemas import DIM_PRODUCT
@@ -64,64 +64,79 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def scd2_merge(dim: DataFrame, incoming: DataFrame, effective_date=None) -> DataFrame:
-    """Merge a silver batch into the product dimension and return the
-    whole new snapshot (Parquet has no in-place UPDATE).
-
-    - only versions with ``is_current = 1`` are compared and closed (Q12);
-    - a product whose attributes or price differ, NULL-safely (Q15), from
-      every current version gets its current versions closed on
-      ``effective_date`` and a new version from ``effective_date``;
-    - a product not in the dimension starts at the batch's first order day;
-    - products absent from the batch stay as they are (nothing is deleted);
-    - NULL product numbers are skipped (Q25);
-    - new keys continue after the highest existing key.
-    Merging the same batch twice changes nothing.
+def _as_date_col(d):
+    if d is None:
+        return F.current_date()
+    return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)))
+
+
+def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_day, *,
+                        key: str, values: list[str], surrogate: str,
+                        unknown_key: int = -1) -> DataFrame:
+    """C7 core for any SCD2 dimension laid out as (surrogate, key, *values,
+    change_begin_date, change_end_date, is_current), given ``src`` with one
+    row per business key (key, *values).  Returns the whole new snapshot.
+
+    - only current versions are compared and closed (Q12), NULL-safely (Q15);
+    - a key whose values differ from every current version gets those closed
+      on ``effective_date`` and a new version from ``effective_date``;
+    - a key new to the dimension starts on ``first_day``;
+    - keys absent from ``src`` stay as they are (nothing is deleted);
+    - NULL keys and the unknown member are left untouched;
+    - new surrogates continue after the highest existing one, in
+      (key, *values) order.
+    Merging the same source twice changes nothing.
     """
-    eff = F.current_date() if effective_date is None else F.lit(
-        effective_date if isinstance(effective_date, dt.date)
-        else dt.date.fromisoformat(str(effective_date)))
-    is_cur = F.coalesce((F.col("is_current") == 1) & (F.col("product_key") != -1)
-                        & F.col("product_number").isNotNull(), F.lit(False))
+    eff = _as_date_col(effective_date)
+    layout = [surrogate, key, *values, "change_begin_date", "change_end_date", "is_current"]
+    is_cur = F.coalesce((F.col("is_current") == 1) & (F.col(surrogate) != unknown_key)
+                        & F.col(key).isNotNull(), F.lit(False))
     cur = dim.filter(is_cur)
     hist = dim.filter(~is_cur)
-    src = latest_version_per_product(incoming)
 
-    s = src.select("product_number", *[F.col(c).alias(f"s_{c}") for c in VALUE_COLS],
-                   F.lit(True).alias("_src"))
-    joined = cur.join(s, "product_number", "full_outer")
-    equal = reduce(lambda a, b: a & b, [_same(c, f"s_{c}") for c in VALUE_COLS])
-    per_key = Window.partitionBy("product_number")
+    s = src.filter(F.col(key).isNotNull()).select(
+        key, *[F.col(c).alias(f"s_{c}") for c in values], F.lit(True).alias("_src"))
+    joined = cur.join(s, key, "full_outer")
+    equal = reduce(lambda a, b: a & b, [_same(c, f"s_{c}") for c in values])
+    # at most a few rows per key meet here (current versions x one source row)
+    per_key = Window.partitionBy(key)
     joined = (joined
-              .withColumn("_has_cur", F.col("product_key").isNotNull())
+              .withColumn("_has_cur", F.col(surrogate).isNotNull())
               .withColumn("_has_src", F.coalesce(F.col("_src"), F.lit(False)))
               .withColumn("_eq", F.coalesce(equal & F.col("_has_cur"), F.lit(False)))
               .withColumn("_any_eq", F.max(F.col("_eq").cast("int")).over(per_key) == 1))
 
-    dim_cols = DIM_PRODUCT.fieldNames()
     closes = F.col("_has_cur") & F.col("_has_src") & ~F.col("_any_eq")
     kept = joined.filter(F.col("_has_cur")).select(
-        "product_key", "product_number", *VALUE_COLS, "change_begin_date",
+        surrogate, key, *values, "change_begin_date",
         F.when(closes, eff).otherwise(F.col("change_end_date")).alias("change_end_date"),
         F.when(closes, F.lit(0)).otherwise(F.col("is_current")).alias("is_current"),
-    ).select(*dim_cols)
+    )
 
     new_rows = joined.filter(F.col("_has_src") & ~F.col("_any_eq")).select(
-        "product_number",
-        *[F.col(f"s_{c}").alias(c) for c in VALUE_COLS],
-        F.col("_has_cur"),
-    ).dropDuplicates(["product_number"])
-    first_day = first_order_day(incoming)
-    max_key = dim.agg(F.max("product_key").alias("m")).first()["m"]
-    start = max(max_key or 0, 0) + 1
-    keyed = assign_keys(new_rows, PRODUCT_ORDER, "product_key", start=start)
+        key, *[F.col(f"s_{c}").alias(c) for c in values], F.col("_has_cur"),
+    ).dropDuplicates([key])
+    max_key = dim.agg(F.max(surrogate).alias("m")).first()["m"]
+    keyed = assign_keys(new_rows, [key, *values], surrogate, start=max(max_key or 0, 0) + 1)
     inserted = keyed.select(
-        "product_key", *PRODUCT_ORDER,
-        F.when(F.col("_has_cur"), eff).otherwise(F.lit(first_day)).alias("change_begin_date"),
+        surrogate, key, *values,
+        F.when(F.col("_has_cur"), eff).otherwise(_as_date_col(first_day))
+        .alias("change_begin_date"),
         F.lit(dt.date.fromisoformat(OPEN_END_DATE)).alias("change_end_date"),
         F.lit(1).alias("is_current"),
-    ).select(*dim_cols)
-    return hist.select(*dim_cols).unionByName(kept).unionByName(inserted)
+    )
+    return hist.select(*layout).unionByName(kept.select(*layout)) \
+        .unionByName(inserted.select(*layout))
+
+
+def scd2_merge(dim: DataFrame, incoming: DataFrame, effective_date=None) -> DataFrame:
+    """C7 for the product dimension: reduce a silver batch to one row per
+    product (Q14, Q16) and merge it with ``scd2_merge_versions``; products
+    new to the dimension begin on the batch's first order day (Q13)."""
+    return scd2_merge_versions(
+        dim, latest_version_per_product(incoming), effective_date,
+        first_order_day(incoming), key="product_number", values=VALUE_COLS,
+        surrogate="product_key").select(*DIM_PRODUCT.fieldNames())
 
 
 def version_fanout(silver: DataFrame, dim: DataFrame, as_written: bool = True,

@@ -214,3 +214,21 @@ def test_random_merges_keep_invariants(spark):
                 assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
             again = scd2.scd2_merge(dim, batch, eff).collect()
             assert sorted(map(tuple, again), key=str) == sorted(map(tuple, out), key=str)
+
+
+def test_generic_merge_on_another_dimension(spark):
+    dim = spark.createDataFrame(
+        [(1, "C1", "retail", dt.date(2007, 1, 1), dt.date(9999, 12, 31), 1),
+         (2, "C2", "bank", dt.date(2007, 1, 1), dt.date(9999, 12, 31), 1)],
+        "sk long, code string, segment string, change_begin_date date, "
+        "change_end_date date, is_current int")
+    src = spark.createDataFrame([("C1", "retail"), ("C2", "insurance"), ("C3", "bank")],
+                                "code string, segment string")
+    out = scd2.scd2_merge_versions(dim, src, dt.date(2008, 1, 1), dt.date(2007, 6, 1),
+                                   key="code", values=["segment"], surrogate="sk").collect()
+    got = sorted((r["sk"], r["code"], r["segment"], r["is_current"], str(r["change_begin_date"]),
+                  str(r["change_end_date"])) for r in out)
+    assert got == [(1, "C1", "retail", 1, "2007-01-01", "9999-12-31"),
+                   (2, "C2", "bank", 0, "2007-01-01", "2008-01-01"),
+                   (3, "C2", "insurance", 1, "2008-01-01", "9999-12-31"),
+                   (4, "C3", "bank", 1, "2007-06-01", "9999-12-31")]
