@@ -22,6 +22,7 @@ from starloom.schemas import (
 )
 from starloom.sources.bronze import normalize_columns, stamp_ingestion
 from starloom.sources.forecast import forecast_rows
+from starloom.session import scratch_scope
 from starloom.sources.tables import TableStore
 
 
@@ -50,14 +51,25 @@ def build_warehouse(spark: SparkSession, raw_sales: DataFrame, root: str, *,
                     date_start=dims.REFERENCE_DATE_START, date_end=dims.REFERENCE_DATE_END,
                     previous_product_dim: DataFrame | None = None, effective_date=None,
                     reset: bool = False, date_grain: str = "exact",
-                    customer_type1: bool = False) -> BuildResult:
+                    customer_type1: bool = False, keep_scratch: bool = False) -> BuildResult:
     """Run the full load: raw records -> bronze -> silver -> gold.
 
     ``previous_product_dim`` switches the product step from the initial
     load (C6) to the SCD2 merge (C7) on ``effective_date``.
     ``date_grain="day"`` matches orders with a time of day to their day
     (Q9); ``customer_type1=True`` keeps one customer row per code (Q11).
+    Staging tables made on the way are deleted at the end unless
+    ``keep_scratch``; every returned table lives in the table store.
     """
+    with scratch_scope(spark, keep=keep_scratch):
+        return _build(spark, raw_sales, root, forecast_records, date_start, date_end,
+                      previous_product_dim, effective_date, reset, date_grain,
+                      customer_type1)
+
+
+def _build(spark, raw_sales, root, forecast_records, date_start, date_end,
+           previous_product_dim, effective_date, reset, date_grain,
+           customer_type1) -> BuildResult:
     store = TableStore(spark, root)
     if reset:
         store.init_layers()

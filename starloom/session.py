@@ -7,6 +7,8 @@ the master is local (tests, laptops) do we create a private temp folder.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -63,7 +65,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_COLLECTOR: contextvars.ContextVar[list | None] = contextvars.ContextVar(
+    "starloom_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for staged tables."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "starloom-scratch", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root, "starloom-scratch", f"{name}-{uuid.uuid4().hex}")
+    collected = _COLLECTOR.get()
+    if collected is not None:
+        collected.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, keep: bool = False):
+    """Delete the scratch folders created inside the block when it ends
+    (only when it ends without an error, and only if ``keep`` is False).
+    Use it where every result has been written elsewhere by the end."""
+    collected: list[str] = []
+    token = _COLLECTOR.set(collected)
+    try:
+        yield collected
+    finally:
+        _COLLECTOR.reset(token)
+    if not keep:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in collected:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            fs = path.getFileSystem(conf)
+            if fs.exists(path):
+                fs.delete(path, True)

@@ -81,3 +81,13 @@ def test_reloading_the_same_batch_changes_nothing_downstream(spark, tmp_root):
     assert [tuple(r) for r in r2.tables["gold_forecast"].collect()] == [
         ("NATION_0", "Brand#1", 10.0, 1997)]
     assert "gold_forecast" in {r["step"] for r in r2.metrics.collect()}
+
+
+def test_scratch_scope_removes_staging(spark, tmp_root):
+    from starloom.operators.keys import assign_keys
+    from starloom.session import scratch_scope
+    with scratch_scope(spark) as made:
+        out = assign_keys(spark.range(10).toDF("v"), ["v"], "k")
+        out.write.parquet(os.path.join(tmp_root, "keyed"))
+    assert made and all(not os.path.exists(p.replace("file:", "")) for p in made)
+    assert spark.read.parquet(os.path.join(tmp_root, "keyed")).count() == 10
