@@ -1,7 +1,10 @@
 """Run registered Spark queries next to their DuckDB oracle and compare
 row count, column names and order-insensitive values.
 
-    python tools/compare_oracle.py [sf_dir] [name-prefix ...]
+    python tools/compare_oracle.py [--plain-tz=ZONE] [sf_dir] [name-prefix ...]
+
+``--plain-tz`` runs the Spark side in a plain session (none of the package's
+session defaults) with the given session time zone, as a driver might.
 """
 
 from __future__ import annotations
@@ -48,9 +51,16 @@ def canon(cols, rows):
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    prefixes = sys.argv[2:]
-    spark = build_session("local[8]", shuffle_partitions=8)
+    args = [a for a in sys.argv[1:] if not a.startswith("--plain-tz=")]
+    plain = [a.split("=", 1)[1] for a in sys.argv[1:] if a.startswith("--plain-tz=")]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    prefixes = args[1:]
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.session.timeZone", plain[0]).getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
