@@ -130,14 +130,20 @@ def year_orphans(agg: DataFrame, forecast: DataFrame, year_dim: DataFrame) -> Da
 
 
 def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
-    # both sides are single-row global aggregates; zip them on a constant key
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """Two single-row, single-column aggregates as one row, without a join:
+    each value goes into its own column of a two-row union, and ``max``
+    (which skips the other row's NULL) picks it back out."""
+    (na,), (nb,) = a.columns, b.columns
+    ta, tb = a.schema[na].dataType, b.schema[nb].dataType
+    u = a.select(F.col(na).alias("_a"), F.lit(None).cast(tb).alias("_b")).unionByName(
+        b.select(F.lit(None).cast(ta).alias("_a"), F.col(nb).alias("_b")))
+    return u.agg(F.max("_a").alias(na), F.max("_b").alias(nb))
 
 
 def reconcile(silver: DataFrame, fact: DataFrame, agg: DataFrame) -> DataFrame:
     """V1-V4 as rows (check, left_value, right_value, ok)."""
     def row(name, left, right):
-        return left.withColumn("_k", F.lit(1)).join(right.withColumn("_k", F.lit(1)), "_k") \
+        return _side_by_side(left, right) \
             .select(F.lit(name).alias("check"),
                     F.col("l").cast("double").alias("left_value"),
                     F.col("r").cast("double").alias("right_value"),

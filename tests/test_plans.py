@@ -54,3 +54,13 @@ def test_scd2_lookup_is_an_equi_join_with_a_range_residual(spark):
     plan = _plan(scd2.scd2_lookup(sales, dim))
     assert "HashJoin LeftOuter" in plan or "SortMergeJoin LeftOuter" in plan
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_checks_pair_aggregates_without_a_join(spark):
+    from starloom.operators import quality
+    a = spark.range(5).selectExpr("id AS QUANTITY", "id AS NET_PRICE")
+    f = spark.range(5).selectExpr("CAST(id AS DOUBLE) AS total_amount")
+    for df in (quality.row_counts(a, f), quality.amount_totals(a, f)):
+        plan = _plan(df, "simple")
+        assert "Join" not in plan and "Cartesian" not in plan
+    assert tuple(quality.row_counts(a, f).first()) == (5, 5)
