@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import decontam, secrets
+from starloom.llm import decontam, pivotal_mix, secrets
 from starloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,9 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_secret_scan, op6_decontaminate)}
+def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotal_mix.digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_secret_scan, op6_decontaminate, op9_pivotal_mix)}
 ORACLE: dict[str, str] = {}
