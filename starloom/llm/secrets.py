@@ -155,8 +155,10 @@ def joined(spans: Column) -> Column:
 def digest(docs: DataFrame) -> DataFrame:
     """The query's columns: counts of the base kinds and span lists."""
     scanned = scan_secrets(docs.select("doc_id", "text")).select("doc_id", "spans")
-    n = {k: F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-         for k in BASE_KINDS}
-    base = F.filter("spans", lambda s: s["kind"].isin(BASE_KINDS))
-    return scanned.select("doc_id", *n.values(), F.sha2(joined(base), 256).alias("base_sha256"),
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    n = {k: F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS}
+    return scanned.select("doc_id", *n.values(), F.sha2(joined(of(*BASE_KINDS)), 256).alias("base_sha256"),
                           joined(F.col("spans")).alias("spans"))
