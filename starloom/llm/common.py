@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,30 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = tuple(state)
     roots = e.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+#: Bits of a key filter: 8 MB, whatever the number of keys.
+FILTER_BITS = 1 << 26
+
+
+def key_filter(keys: DataFrame, col: str):
+    """A test ``Column -> Column`` (boolean) that holds for every value of the
+    long column ``col`` and for few others, to thin rows ahead of a shuffle.
+
+    It is a bitmap of fixed size, so what is collected and broadcast is
+    bounded.  With many more keys than bits it lets everything pass, which
+    costs the shuffle that it would have saved and changes no result.
+    """
+    slot = F.pmod(F.xxhash64(col), F.lit(FILTER_BITS))
+    words = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toPandas()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(s: pd.Series) -> pd.Series:
+        s = s.to_numpy(np.int64)
+        return pd.Series(shared.value[s >> 6] >> (s & 63) & 1 == 1)
+
+    return lambda c: maybe(F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)))
