@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import decontam, pivotal_mix, repeats, secrets
+from starloom.llm import bbit_minhash, decontam, pivotal_mix, repeats, secrets
 from starloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op2_secret_scan, op6_decontaminate, op9_pivotal_mix, op10_repeated_substrings)}
+    op2_secret_scan, op4_bbit_minhash, op6_decontaminate, op9_pivotal_mix, op10_repeated_substrings)}
 ORACLE: dict[str, str] = {}
