@@ -270,7 +270,8 @@ CUT_TYPE = T.StructType([
 def _cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
     rows = []
     for t, x in zip(text, spans):
-        data, cuts = t.encode("utf-8", "surrogatepass"), _merge(x)
+        # rows that the key filter let pass by chance have no spans
+        data, cuts = t.encode("utf-8", "surrogatepass"), _merge(x if x is not None else ())
         cuts = [(s, min(e, len(data))) for s, e in cuts]
         ends = [0, *(e for _, e in cuts)]
         kept = b"".join(data[a:b] for a, b in zip(ends, [*(s for s, _ in cuts), len(data)]))
