@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bbit_minhash, decontam, pivotal_mix, repeats, secrets
+from starloom.llm import bbit_minhash, decontam, pivotal_mix, repeats, secrets, toxicity
 from starloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -33,5 +37,5 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op2_secret_scan, op4_bbit_minhash, op6_decontaminate, op9_pivotal_mix, op10_repeated_substrings)}
+    op1_toxicity, op2_secret_scan, op4_bbit_minhash, op6_decontaminate, op9_pivotal_mix, op10_repeated_substrings)}
 ORACLE: dict[str, str] = {}
