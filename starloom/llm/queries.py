@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bbit_minhash, decontam, line_templates, nn_descent, pivotal_mix, repeats, secrets, toxicity
+from starloom.llm import bbit_minhash, decontam, license_rules, line_templates, nn_descent, pivotal_mix, repeats, secrets, toxicity
 from starloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal_mix.digest(table(spark, sf_dir, "documents"))
 
@@ -46,5 +50,5 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_nn_descent, op4_bbit_minhash, op6_decontaminate, op7_line_templates,
-    op9_pivotal_mix, op10_repeated_substrings)}
+    op8_license_rules, op9_pivotal_mix, op10_repeated_substrings)}
 ORACLE: dict[str, str] = {"op7_line_templates": line_templates.ORACLE}
