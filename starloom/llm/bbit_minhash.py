@@ -152,31 +152,45 @@ def least_estimate(similarity: float) -> float:
 
 
 def _between(pdf: pd.DataFrame, least: float, limit: int, percent: int) -> pd.DataFrame:
-    """Likeliest pairs of one block of a bucket between components: per member
-    and other component ``limit`` at most, with a mark if there were more."""
+    """Likeliest pairs between components in whole blocks of rows sorted by
+    block: per member and other component ``limit`` at most, with a mark if
+    there were more."""
     sig = pdf[SIGNATURE].to_numpy(np.int64).view(np.uint64)
-    node, comp = pdf["node"].to_numpy(), pdf["component"].to_numpy()
+    block, node, comp = pdf["block"].to_numpy(), pdf["node"].to_numpy(), pdf["component"].to_numpy()
     size, side = pdf["n"].to_numpy(), pdf["side"].to_numpy()
-    mask = np.uint64(int("1" * (64 // BITS), 1 << BITS))
-    chance = 1 / (1 << BITS)
-    out = []
-    other = np.argsort(comp, kind="stable")
-    for i in range(len(pdf)):
-        d = sig ^ sig[i]
-        any_bit = d | (d >> np.uint64(1)) | (d >> np.uint64(2)) | (d >> np.uint64(3))
-        differ = np.bitwise_count(any_bit & mask).sum(axis=1)
+    mask, chance = np.uint64(int("1" * (64 // BITS), 1 << BITS)), 1 / (1 << BITS)
+    first, found = np.arange(len(pdf)), []
+    for step in range(1, len(pdf)):  # each row with the one `step` further on, as far as blocks reach
+        first = first[first < len(pdf) - step]
+        first = first[block[first] == block[first + step]]
+        if not len(first):
+            break
+        i, j = first, first + step
+        ok = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] == 2)) \
+            & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+        i, j = i[ok], j[ok]
+        differ = np.zeros(len(i), np.int64)
+        for w in range(WORDS_PACKED):
+            d = sig[i, w] ^ sig[j, w]
+            d |= d >> np.uint64(1)
+            d |= d >> np.uint64(2)
+            differ += np.bitwise_count(d & mask)
         est = ((1 - differ / MINIMA) - chance) / (1 - chance)
-        ok = (est >= least) & (comp != comp[i]) & ((side != side[i]) | (side == 2)) \
-            & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
-        js = other[ok[other]]
-        if not len(js):
-            continue
-        js = js[np.lexsort((node[js], -est[js], comp[js]))]
-        start = np.flatnonzero(np.diff(comp[js], prepend=comp[js[0]] - 1))
-        rank = np.arange(len(js)) - np.repeat(start, np.diff(np.append(start, len(js))))
-        more = bool((rank >= limit).any())
-        out += [(min(node[i], node[j]), max(node[i], node[j]), more) for j in js[rank < limit]]
-    return pd.DataFrame(out, columns=["a", "b", "more"]).drop_duplicates()
+        near = est >= least
+        if near.any():
+            found.append((i[near], j[near], est[near]))
+    if not found:
+        return pd.DataFrame({"a": node[:0], "b": node[:0], "more": np.zeros(0, bool)})
+    i, j, est = (np.concatenate(x) for x in zip(*found))
+    keep = np.zeros(len(i), bool)
+    for x, y in ((i, j), (j, i)):
+        order = np.lexsort((node[y], -est, comp[y], x))
+        new = np.r_[True, (x[order][1:] != x[order][:-1]) | (comp[y][order][1:] != comp[y][order][:-1])]
+        start = np.flatnonzero(new)
+        rank = np.arange(len(x)) - np.repeat(start, np.diff(np.append(start, len(x))))
+        keep[order[rank < limit]] = True
+    a, b = node[i[keep]], node[j[keep]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": not keep.all()}).drop_duplicates()
 
 
 def _blocks(rows: Iterator[pd.DataFrame], least: float, limit: int, percent: int) -> Iterator[pd.DataFrame]:
@@ -185,10 +199,10 @@ def _blocks(rows: Iterator[pd.DataFrame], least: float, limit: int, percent: int
     for pdf in rows:
         if rest is not None:
             pdf = pd.concat([rest, pdf], ignore_index=True)
-        whole = pdf["block"] != pdf["block"].iloc[-1]
+        whole = (pdf["block"] != pdf["block"].iloc[-1]).to_numpy()
         rest = pdf[~whole]
-        for _, g in pdf[whole].groupby("block", sort=False):
-            yield _between(g, least, limit, percent)
+        if whole.any():
+            yield _between(pdf[whole], least, limit, percent)
     if rest is not None and len(rest):
         yield _between(rest, least, limit, percent)
 
@@ -242,7 +256,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     tested = staged(likely(buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
                            .distinct()), "tested")
     links = staged(_confirm(tested, sets, percent), "links")
-    limit = 2
+    limit = 8
     while True:
         label = staged(components(links), "labels")
         at = buckets.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -261,13 +275,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                        .groupBy("a", "b").agg(F.max("more").alias("more")), "between")
         new = staged(found.select("a", "b").join(tested, ["a", "b"], "left_anti"), "untested")
         fresh_links = staged(_confirm(new, sets, percent), "links")
-        if fresh_links.limit(1).count():
-            links = links.unionByName(fresh_links)
-        elif not found.filter("more").limit(1).count():
-            break
-        else:
-            limit *= 4
-        tested = tested.unionByName(new)
+        links, tested = links.unionByName(fresh_links), tested.unionByName(new)
+        if not found.filter("more").limit(1).count():
+            break  # every candidate between components has been tested
+        limit *= 4
+    label = staged(components(links), "labels")
     out = sketch.select("id", F.col("n").alias("n_shingles")).join(member, "id", "left").join(label, "node", "left")
     component = F.coalesce("component", "node", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
