@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bbit_minhash, decontam, license_rules, line_templates, nn_descent, pivotal_mix, repeats, secrets, toxicity
+from starloom.llm import (
+    bbit_minhash, decontam, license_rules, line_templates, nn_descent, page_templates, pivotal_mix, repeats, secrets, toxicity,
+)
 from starloom.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_page_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_templates.digest(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,6 +55,6 @@ def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_toxicity, op2_secret_scan, op3_nn_descent, op4_bbit_minhash, op6_decontaminate, op7_line_templates,
+    op1_toxicity, op2_secret_scan, op3_nn_descent, op4_bbit_minhash, op5_page_templates, op6_decontaminate, op7_line_templates,
     op8_license_rules, op9_pivotal_mix, op10_repeated_substrings)}
 ORACLE: dict[str, str] = {"op7_line_templates": line_templates.ORACLE}
