@@ -10,8 +10,8 @@ copyright lines and blank ones don't.
 
 Sentences end at ``.``, ``;``, ``:``, ``!`` or ``?`` before white space, and at
 the end of the text.  A line break ends one too in a first reading; where that
-finds nothing, a second reading takes line breaks as blanks, so sentences may
-be wrapped.  Offsets count code points of the text, ends are exclusive.  NULL
+finds nothing, a second reading takes single line breaks as blanks, so
+sentences may be wrapped.  Offsets count code points of the text, ends are exclusive.  NULL
 and empty texts have no licenses; repeated rows are read one by one.
 """
 
@@ -100,7 +100,7 @@ RULES = [
 #: Each known sentence holds one of these words; texts without any are not cut.
 HINTS = ("license", "licence", "permission", "redistribut", "warrant", "copyright", "rights", "free software", "released")
 
-_PARTS = {True: re.compile(r"[^\n]*?(?:[.;:!?]+(?=\s|$)|\n|$)", re.S), False: re.compile(r".*?(?:[.;:!?]+(?=\s|\Z)|\Z)", re.S)}
+_PARTS = {True: re.compile(r"[^\n]*?(?:[.;:!?]+(?=\s|$)|\n|$)", re.S), False: re.compile(r".*?(?:[.;:!?]+(?=\s|\Z)|\n[^\S\n]*\n|\Z)", re.S)}
 _WORDS = re.compile(r"[^\W_]+")
 _IGNORED = re.compile(r"\s*(copyright|\(c\)|©)", re.I)
 
