@@ -104,7 +104,7 @@ def main() -> None:
     t0 = time.time()
     scd2.scd2_lookup(silver.select("PRODUCTKEY", "ORDER_DATE"), merged) \
         .groupBy("product_key").count().collect()
-    scd2.version_fanout(silver, merged, as_written=False, limit=None).collect()
+    scd2.version_fanout(silver, merged, as_written=False, limit=None).count()
     timings["scd2_lookup_and_fanout"] = round(time.time() - t0, 3)
 
     total = round(time.time() - t_all, 3)

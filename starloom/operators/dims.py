@@ -18,6 +18,7 @@ from starloom.operators.keys import (
     assign_keys, broadcast_if_bounded, literal_row, with_unknown_member,
 )
 from starloom.schemas import DIM_PRODUCT, DIM_YEAR
+from starloom.session import scratch_path
 
 # The reference's date range, open end date and fallback begin date.
 REFERENCE_DATE_START = "2007-01-01"
@@ -138,13 +139,15 @@ def customer_dimension(silver: DataFrame, type1: bool = False) -> DataFrame:
                                "customer_key")
 
 
-def product_versions(silver: DataFrame) -> DataFrame:
-    """A3: MAX(price) per (product, attribute set); NULL product keys are
-    left out (their sales get the unknown product)."""
-    return (silver.filter(F.col("PRODUCTKEY").isNotNull())
-            .groupBy(*PRODUCT_SOURCE.keys())
+def product_versions(silver: DataFrame, keep_null: bool = False) -> DataFrame:
+    """A3: MAX(price) per (product, attribute set), with its first and last
+    order date; NULL product keys are left out (their sales get the unknown
+    product) unless ``keep_null``."""
+    rows = silver if keep_null else silver.filter(F.col("PRODUCTKEY").isNotNull())
+    return (rows.groupBy(*PRODUCT_SOURCE.keys())
             .agg(F.max("NET_PRICE").cast("double").alias("unit_price"),
-                 F.max("ORDER_DATE").alias("last_order_date"))
+                 F.max("ORDER_DATE").alias("last_order_date"),
+                 F.min("ORDER_DATE").alias("first_order_date"))
             .withColumnsRenamed(PRODUCT_SOURCE))
 
 
@@ -168,8 +171,12 @@ def product_dimension_initial(silver: DataFrame) -> DataFrame:
     """First load of the SCD2 product dimension.  Every (product,
     attribute set) becomes a current version valid from the first order day
     to the open end date; keys follow (product number, attributes, price)."""
-    begin = first_order_day(silver)
-    versions = product_versions(silver).drop("last_order_date")
+    spark, path = silver.sparkSession, scratch_path(silver.sparkSession, "product-versions")
+    product_versions(silver, keep_null=True).write.parquet(path)  # one pass over silver
+    staged = spark.read.parquet(path)
+    begin = staged.agg(F.min(F.to_date("first_order_date")).alias("d")).first()["d"] \
+        or dt.date.fromisoformat(FALLBACK_BEGIN_DATE)
+    versions = staged.filter(F.col("product_number").isNotNull()).drop("last_order_date", "first_order_date")
     keyed = assign_keys(versions, PRODUCT_ORDER, "product_key")
     dim = keyed.select(
         "product_key", *PRODUCT_ORDER,

@@ -6,12 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import assign_keys, broadcast_if_bounded, fits
+from starloom.operators.keys import assign_keys, broadcast_if_bounded
+from starloom.operators.quality import exact_sum
 from starloom.operators.scd2 import scd2_lookup
 from starloom.schemas import FACT_SALES
 
-# Dimension rows we are willing to broadcast after a row-count probe.  The
-# projected dimension rows are a handful of narrow columns (< 64 bytes).
+# Dimension rows we are willing to broadcast after a probe of rows and bytes.
 BROADCAST_MAX_ROWS = 1_000_000
 
 FORECAST_KEYS = ["country_region", "brand", "year"]
@@ -84,31 +84,22 @@ def actual_sales_agg(fact: DataFrame, product_dim: DataFrame, location_dim: Data
     """C9 (J9 + A4): SUM(total_amount) by country, brand and year over the
     star join; rows with no date (date_key -1) form the NULL-year group.
 
-    When the product and location dimensions pass the size check, the fact
-    streams through three broadcast joins into one partial aggregation: a
-    single shuffle of partial sums.  Otherwise the fact is first reduced to
-    (product_key, location_key, year) by a map-side partial aggregation, so
-    the shuffle joins with the large dimensions see one row per combination
-    instead of one per transaction.  Surrogate keys are unique in their
-    dimensions, so both forms give the sums of the join-then-group SQL."""
+    The fact is first reduced to (product_key, location_key, year) by a
+    map-side partial aggregation, so the joins with the product and location
+    dimensions see one row per combination instead of one per transaction.
+    Surrogate keys are unique in their dimensions, so this gives the sums of
+    the join-then-group SQL; amounts are summed as decimals, so they are the
+    same in any order."""
     d = broadcast_if_bounded(date_dim.select("date_key", "year"), broadcast_max_rows)
-    p = product_dim.select("product_key", "brand")
-    l = location_dim.select("location_key", "country_region")
-    f = fact.select("product_key", "location_key", "date_key", "total_amount")
-    if fits(p, broadcast_max_rows) and fits(l, broadcast_max_rows):
-        joined = (f.join(d, "date_key", "left")
-                  .join(F.broadcast(p), "product_key", "left")
-                  .join(F.broadcast(l), "location_key", "left"))
-        amount = F.sum("total_amount")
-    else:
-        pre = (f.join(d, "date_key", "left")
-               .groupBy("product_key", "location_key", "year")
-               .agg(F.sum("total_amount").alias("_amount")))
-        joined = (pre.join(broadcast_if_bounded(p, broadcast_max_rows), "product_key", "left")
-                  .join(broadcast_if_bounded(l, broadcast_max_rows), "location_key", "left"))
-        amount = F.sum("_amount")
+    p = broadcast_if_bounded(product_dim.select("product_key", "brand"), broadcast_max_rows)
+    l = broadcast_if_bounded(location_dim.select("location_key", "country_region"), broadcast_max_rows)
+    pre = (fact.select("product_key", "location_key", "date_key", "total_amount")
+           .join(d, "date_key", "left")
+           .groupBy("product_key", "location_key", "year")
+           .agg(exact_sum("total_amount").alias("_amount")))
+    joined = pre.join(p, "product_key", "left").join(l, "location_key", "left")
     return (joined.groupBy("country_region", "brand", "year")
-            .agg(amount.cast("double").alias("total_actual_sales"))
+            .agg(exact_sum("_amount").cast("double").alias("total_actual_sales"))
             .select("country_region", "brand", F.col("year").cast("int").alias("year"),
                     "total_actual_sales"))
 

@@ -74,17 +74,27 @@ def literal_row(spark, schema: T.StructType, values: dict) -> DataFrame:
     """One row of literals with ``schema``'s names and types, built on the
     JVM side (``createDataFrame`` from a Python list would start a Python
     worker in every slice it is parallelised into)."""
-    return spark.range(1).select(*[
+    return spark.range(0, 1, 1, 1).select(*[
         F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; the probe stops
-    after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+#: Bytes of values that are broadcast at most, whatever the number of rows.
+BROADCAST_MAX_BYTES = 128 << 20
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking it has at most ``max_rows``
-    rows; otherwise leave the choice (shuffle join, AQE) to the planner."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
+    of values: one aggregate, of which each task sends one row."""
+    width = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType))
+                         else F.lit(8)).cast("long")
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast-hint ``df`` only after checking its rows and bytes;
+    otherwise leave the choice (shuffle join, AQE) to the planner."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

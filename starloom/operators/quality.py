@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +18,17 @@ from starloom.operators.keys import broadcast_if_bounded, literal_row
 
 
 def _amount(q: str, p: str):
-    # computed in double: whole numbers stay exact below 2^53 and a wild
-    # value cannot overflow a long and fail the job
+    # in double, as the fact has it: a wild value cannot overflow a long and fail the job
     return F.col(q).cast("double") * F.col(p).cast("double")
 
 
+def exact_sum(amount) -> Column:
+    """Sum of whole amounts as decimal(38, 0): the same in any order, also
+    beyond 2^53, where doubles are not.  An amount past 38 digits (a product
+    of two longs never is) counts as NULL."""
+    return F.try_sum((F.col(amount) if isinstance(amount, str) else amount).try_cast("decimal(38,0)"))
+
+
 def row_counts(silver: DataFrame, fact: DataFrame) -> DataFrame:
     """V1: silver rows vs fact rows (a difference means fan-out or loss)."""
     s = silver.agg(F.count(F.lit(1)).alias("silver_rows"))
@@ -32,21 +38,21 @@ def row_counts(silver: DataFrame, fact: DataFrame) -> DataFrame:
 
 def amount_totals(silver: DataFrame, fact: DataFrame) -> DataFrame:
     """V2: SUM(QUANTITY * NET_PRICE) in silver vs SUM(total_amount) in the fact."""
-    s = silver.agg(F.sum(_amount("QUANTITY", "NET_PRICE")).alias("silver_total"))
-    f = fact.agg(F.sum("total_amount").alias("fact_total"))
+    s = silver.agg(exact_sum(_amount("QUANTITY", "NET_PRICE")).cast("double").alias("silver_total"))
+    f = fact.agg(exact_sum("total_amount").cast("double").alias("fact_total"))
     return _side_by_side(s, f)
 
 
 def agg_total(agg: DataFrame, fact: DataFrame) -> DataFrame:
     """V3: aggregate-fact total vs transaction-fact total."""
-    a = agg.agg(F.sum("total_actual_sales").alias("agg_total"))
-    f = fact.agg(F.sum("total_amount").alias("fact_total"))
+    a = agg.agg(exact_sum("total_actual_sales").cast("double").alias("agg_total"))
+    f = fact.agg(exact_sum("total_amount").cast("double").alias("fact_total"))
     return _side_by_side(a, f)
 
 
 def unknown_date_rows(fact: DataFrame) -> DataFrame:
     """V4 (P8): fact rows whose order date is outside the date dimension."""
-    return fact.agg(F.count(F.when(F.col("date_key") == -1, 1)).alias("unknown_date_rows"))
+    return fact.filter(F.col("date_key") == -1).agg(F.count(F.lit(1)).alias("unknown_date_rows"))
 
 
 def version_history(dim: DataFrame, product_number=None) -> DataFrame:
@@ -111,13 +117,20 @@ def orphan_rows(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str
 
 def fact_orphans(fact: DataFrame, product: DataFrame, customer: DataFrame,
                  location: DataFrame, date: DataFrame) -> DataFrame:
-    """J11 over the four declared foreign keys of the sales fact."""
-    return reduce(DataFrame.unionByName, [
-        orphan_rows(fact, "product_key", product, "product_key", "product_key"),
-        orphan_rows(fact, "customer_key", customer, "customer_key", "customer_key"),
-        orphan_rows(fact, "location_key", location, "location_key", "location_key"),
-        orphan_rows(fact, "date_key", date, "date_key", "date_key"),
-    ])
+    """J11 over the four declared foreign keys of the sales fact, in one pass:
+    the fact is reduced to its key combinations map-side, meets each parent
+    once, and conditional sums count what found none."""
+    parents = {"product_key": product, "customer_key": customer, "location_key": location, "date_key": date}
+    rows = fact.groupBy(*parents).agg(F.count(F.lit(1)).alias("_n"))
+    counts = []
+    for fk, parent in parents.items():
+        # a parent's key is checked to be unique elsewhere; a repeated one must not multiply rows here
+        keys = broadcast_if_bounded(parent.select(F.col(fk).alias(f"_p_{fk}")).distinct(), 5_000_000)
+        rows = rows.join(keys, F.col(fk) == F.col(f"_p_{fk}"), "left")
+        lost = F.col(fk).isNotNull() & F.col(f"_p_{fk}").isNull()
+        counts.append(F.struct(F.lit(fk).alias("foreign_key"),
+                               F.coalesce(F.sum(F.when(lost, F.col("_n"))), F.lit(0)).alias("orphan_rows")))
+    return rows.agg(F.array(*counts).alias("c")).select(F.inline("c"))
 
 
 def year_orphans(agg: DataFrame, forecast: DataFrame, year_dim: DataFrame) -> DataFrame:
@@ -141,27 +154,29 @@ def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def reconcile(silver: DataFrame, fact: DataFrame, agg: DataFrame) -> DataFrame:
-    """V1-V4 as rows (check, left_value, right_value, ok)."""
-    def row(name, left, right):
-        return _side_by_side(left, right) \
-            .select(F.lit(name).alias("check"),
-                    F.col("l").cast("double").alias("left_value"),
-                    F.col("r").cast("double").alias("right_value"),
-                    F.col("l").cast("double").eqNullSafe(F.col("r").cast("double")).alias("ok"))
-
-    cnt = lambda df: df.agg(F.count(F.lit(1)))
-    rows = [
-        row("silver_vs_fact_rows", cnt(silver).toDF("l"), cnt(fact).toDF("r")),
-        row("silver_vs_fact_amount",
-            silver.agg(F.sum(_amount("QUANTITY", "NET_PRICE"))).toDF("l"),
-            fact.agg(F.sum("total_amount")).toDF("r")),
-        row("fact_vs_agg_amount", fact.agg(F.sum("total_amount")).toDF("l"),
-            agg.agg(F.sum("total_actual_sales")).toDF("r")),
-        row("unknown_date_rows",
-            fact.agg(F.count(F.when(F.col("date_key") == -1, 1))).toDF("l"),
-            fact.sparkSession.range(1).select(F.lit(0).alias("r"))),
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    """V1-V4 as rows (check, left_value, right_value, ok): one aggregate per
+    table, amounts compared as exact decimals."""
+    whole = T.DecimalType(38, 0)
+
+    def of(table: str, rows: Column, amount: Column, unknown: Column | None = None) -> list[Column]:
+        return [rows.cast(whole).alias(f"{table}_rows"), amount.cast(whole).alias(f"{table}_amount"),
+                (F.lit(None) if unknown is None else unknown).cast(whole).alias(f"{table}_unknown")]
+
+    n = F.count(F.lit(1))
+    parts = [silver.agg(*of("silver", n, exact_sum(_amount("QUANTITY", "NET_PRICE")))),
+             fact.agg(*of("fact", n, exact_sum("total_amount"), F.count(F.when(F.col("date_key") == -1, 1)))),
+             agg.agg(*of("agg", n, exact_sum("total_actual_sales")))]
+    # single rows side by side: each fills its own columns of a union
+    one = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    one = one.agg(*[F.max(c).alias(c) for c in one.columns])
+    checks = [("silver_vs_fact_rows", F.col("silver_rows"), F.col("fact_rows")),
+              ("silver_vs_fact_amount", F.col("silver_amount"), F.col("fact_amount")),
+              ("fact_vs_agg_amount", F.col("fact_amount"), F.col("agg_amount")),
+              ("unknown_date_rows", F.col("fact_unknown"), F.lit(0).cast(whole))]
+    return one.select(F.inline(F.array(*[F.struct(
+        F.lit(name).alias("check"), left.cast("double").alias("left_value"),
+        right.cast("double").alias("right_value"), left.eqNullSafe(right).alias("ok"))
+        for name, left, right in checks])))
 
 
 class StepMetrics:

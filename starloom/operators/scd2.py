@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.dims import (
-    OPEN_END_DATE, PRODUCT_ATTRS, first_order_day, product_versions,
+    FALLBACK_BEGIN_DATE, OPEN_END_DATE, PRODUCT_ATTRS, product_versions,
 )
 from starloom.operators.keys import assign_keys
 from starloom.schemas import DIM_PRODUCT
+from starloom.session import scratch_path
 
 VALUE_COLS = [*PRODUCT_ATTRS, "unit_price"]
 
@@ -52,7 +53,10 @@ def latest_version_per_product(incoming: DataFrame) -> DataFrame:
     """Q14 + Q16: reduce a batch to one row per product number: MAX(price)
     per attribute set, then the set seen on the latest order (ties: the
     greatest set)."""
-    versions = product_versions(incoming)
+    return _latest_of(product_versions(incoming))
+
+
+def _latest_of(versions: DataFrame) -> DataFrame:
     pick = F.struct(*VALUE_COLS)
     rank = F.struct("last_order_date", *VALUE_COLS)
     return (versions.groupBy("product_number")
@@ -78,8 +82,10 @@ def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_da
     row per business key (key, *values).  Returns the whole new snapshot.
 
     - only current versions are compared and closed (Q12), NULL-safely (Q15);
-    - a key whose values differ from every current version gets those closed
-      on ``effective_date`` and a new version from ``effective_date``;
+    - every current version that differs from its source is closed on
+      ``effective_date``; if none equals it, a new version begins there;
+    - no version ends before it begins: an ``effective_date`` ahead of a
+      key's current versions gives way to the last of their begin dates;
     - a key new to the dimension starts on ``first_day``;
     - keys absent from ``src`` stay as they are (nothing is deleted);
     - NULL keys and the unknown member are left untouched;
@@ -104,23 +110,24 @@ def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_da
               .withColumn("_has_cur", F.col(surrogate).isNotNull())
               .withColumn("_has_src", F.coalesce(F.col("_src"), F.lit(False)))
               .withColumn("_eq", F.coalesce(equal & F.col("_has_cur"), F.lit(False)))
-              .withColumn("_any_eq", F.max(F.col("_eq").cast("int")).over(per_key) == 1))
+              .withColumn("_any_eq", F.max(F.col("_eq").cast("int")).over(per_key) == 1)
+              .withColumn("_from", F.greatest(eff, F.max("change_begin_date").over(per_key))))
 
-    closes = F.col("_has_cur") & F.col("_has_src") & ~F.col("_any_eq")
+    closes = F.col("_has_cur") & F.col("_has_src") & ~F.col("_eq")
     kept = joined.filter(F.col("_has_cur")).select(
         surrogate, key, *values, "change_begin_date",
-        F.when(closes, eff).otherwise(F.col("change_end_date")).alias("change_end_date"),
+        F.when(closes, F.col("_from")).otherwise(F.col("change_end_date")).alias("change_end_date"),
         F.when(closes, F.lit(0)).otherwise(F.col("is_current")).alias("is_current"),
     )
 
     new_rows = joined.filter(F.col("_has_src") & ~F.col("_any_eq")).select(
-        key, *[F.col(f"s_{c}").alias(c) for c in values], F.col("_has_cur"),
+        key, *[F.col(f"s_{c}").alias(c) for c in values], "_has_cur", "_from",
     ).dropDuplicates([key])
     max_key = dim.agg(F.max(surrogate).alias("m")).first()["m"]
     keyed = assign_keys(new_rows, [key, *values], surrogate, start=max(max_key or 0, 0) + 1)
     inserted = keyed.select(
         surrogate, key, *values,
-        F.when(F.col("_has_cur"), eff).otherwise(_as_date_col(first_day))
+        F.when(F.col("_has_cur"), F.col("_from")).otherwise(_as_date_col(first_day))
         .alias("change_begin_date"),
         F.lit(dt.date.fromisoformat(OPEN_END_DATE)).alias("change_end_date"),
         F.lit(1).alias("is_current"),
@@ -132,10 +139,17 @@ def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_da
 def scd2_merge(dim: DataFrame, incoming: DataFrame, effective_date=None) -> DataFrame:
     """C7 for the product dimension: reduce a silver batch to one row per
     product (Q14, Q16) and merge it with ``scd2_merge_versions``; products
-    new to the dimension begin on the batch's first order day (Q13)."""
+    new to the dimension begin on the batch's first order day (Q13).
+
+    The batch is read once: it is reduced to one row per product and
+    attribute set, with first and last order day, and that is staged."""
+    spark, path = incoming.sparkSession, scratch_path(incoming.sparkSession, "scd2-source")
+    product_versions(incoming, keep_null=True).write.parquet(path)
+    versions = spark.read.parquet(path)
+    first = versions.agg(F.min(F.to_date("first_order_date")).alias("d")).first()["d"]
     return scd2_merge_versions(
-        dim, latest_version_per_product(incoming), effective_date,
-        first_order_day(incoming), key="product_number", values=VALUE_COLS,
+        dim, _latest_of(versions.filter(F.col("product_number").isNotNull())), effective_date,
+        first or dt.date.fromisoformat(FALLBACK_BEGIN_DATE), key="product_number", values=VALUE_COLS,
         surrogate="product_key").select(*DIM_PRODUCT.fieldNames())
 
 
@@ -146,15 +160,16 @@ def version_fanout(silver: DataFrame, dim: DataFrame, as_written: bool = True,
     ``as_written=True`` counts matching pairs, as the reference does, so two
     sales of one product on one day are reported too (Q19);
     ``as_written=False`` counts distinct versions.  Ordered for a stable top."""
-    m = scd2_lookup(silver.select("PRODUCTKEY", "ORDER_DATE"), dim, how="inner")
-    g = m.groupBy("PRODUCTKEY", "ORDER_DATE")
-    if as_written:
-        out = g.agg(F.count(F.lit(1)).alias("match_count"))
-    else:
-        out = g.agg(F.countDistinct("product_key").alias("match_count"))
-    out = out.filter(F.col("match_count") > 1).orderBy(
-        F.col("match_count").desc(), "PRODUCTKEY", "ORDER_DATE")
-    return out.limit(limit) if limit else out
+    # sales meet the versions as one row per product and day, so a hot product is small
+    days = silver.filter(F.col("PRODUCTKEY").isNotNull()).groupBy("PRODUCTKEY", "ORDER_DATE") \
+        .agg(F.count(F.lit(1)).alias("_sales"))
+    m = scd2_lookup(days, dim, how="inner")
+    matches = F.sum("_sales") if as_written else F.countDistinct("product_key")
+    out = m.groupBy("PRODUCTKEY", "ORDER_DATE").agg(matches.alias("match_count")) \
+        .filter(F.col("match_count") > 1)
+    if limit is None:
+        return out
+    return out.orderBy(F.col("match_count").desc(), "PRODUCTKEY", "ORDER_DATE").limit(limit)
 
 
 def _current(dim: DataFrame) -> DataFrame:

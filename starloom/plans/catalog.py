@@ -25,14 +25,14 @@ from starloom.operators.silver import drop_exact_duplicates, split_dead_letter
 from starloom.plans import oracle as O
 from starloom.plans.context import BATCH_CUT, context
 from starloom.schemas import (
-    BRONZE_BUSINESS_COLUMNS, DIM_CUSTOMER, DIM_LOCATION, SILVER,
+    BRONZE_BUSINESS_COLUMNS, DIM_CUSTOMER, DIM_LOCATION, LAYERS, SILVER,
 )
 from starloom.session import scratch_path
 from starloom.sources.bronze import (
-    append_bronze, normalize_columns, read_bronze, read_sales_json, stamp_ingestion,
+    append_bronze, normalize_columns, read_bronze, read_sales_json, split_sales_lines, stamp_ingestion,
 )
-from starloom.sources.driver_tables import split_by_order_date
-from starloom.sources.forecast import forecast_rows, read_forecast_json
+from starloom.sources.driver_tables import SOURCE_NAMES, split_by_order_date
+from starloom.sources.forecast import forecast_rows, read_forecast_json, split_forecast_lines
 from starloom.sources.tables import TableStore
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +138,79 @@ def s08(spark, sf):
     return forecast_rows(read_forecast_json(spark, path, lines=True))
 
 
+@query("s09_init_layers", "SELECT table_name, CAST(row_count AS BIGINT) AS row_count, column_names FROM (VALUES "
+       + ", ".join(f"('{n}', 0, '{','.join(f.name for f in s.fields)}')" for t in LAYERS.values() for n, s in t.items())
+       + ") AS t(table_name, row_count, column_names) WHERE (SELECT count(*) FROM orders) >= 0")
+def s09(spark, sf):
+    """A store that holds the customer dimension is reset; every
+    layer table is there, empty, with its declared columns."""
+    store = _store(spark, "reset")
+    store.write(_ctx(spark, sf).customer_dim, "gold_dim_customer", DIM_CUSTOMER)
+    tables = store.init_layers()
+    columns = F.create_map(*[F.lit(x) for n, t in tables.items() for x in (n, ",".join(t.columns))])
+    return quality.table_row_counts({n: store.read(n) for n in tables}).withColumn("column_names", columns[F.col("table_name")])
+
+
+@query("s13_read_sales_json_array", O.compose(_RAW_CMP_SQL.format(src="raw"), "raw"))
+def s13(spark, sf):
+    """S1 in the form that the reference reads: one JSON array per file."""
+    path = scratch_path(spark, "sales-array")
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("r")
+    # an array per task's rows, cut into files of a bounded number of records
+    rows = _ctx(spark, sf).raw_source.select(record, F.spark_partition_id().alias("p"),
+                                             F.floor(F.monotonically_increasing_id() / 5000).alias("f"))
+    rows.groupBy("p", "f").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value")) \
+        .select("value", "p", "f").write.partitionBy("p", "f").text(path)
+    return raw_cmp(read_sales_json(spark, f"{path}/*/*", lines=False))
+
+
+_BAD_EVERY = 50
+
+
+@query("s14_malformed_sales_lines", O.compose(
+    f"SELECT 'kept' AS outcome, CAST(count(*) AS BIGINT) AS n FROM raw "
+    f"WHERE CAST(CUSTOMERKEY AS BIGINT) % {_BAD_EVERY} NOT IN (0, 1) "
+    f"UNION ALL SELECT 'malformed_line', count(*) FROM raw WHERE CAST(CUSTOMERKEY AS BIGINT) % {_BAD_EVERY} = 0 "
+    f"UNION ALL SELECT 'unknown_field', count(*) FROM raw WHERE CAST(CUSTOMERKEY AS BIGINT) % {_BAD_EVERY} = 1", "raw"))
+def s14(spark, sf):
+    """Lines of some customers arrive cut off, those of others with a
+    field too many; they go to the dead letter, the rest is read."""
+    path = scratch_path(spark, "bad-lines")
+    key = F.col("CustomerKey").cast("long") % _BAD_EVERY
+    line = F.to_json(F.struct("*"))
+    line = F.when(key == 0, F.expr("left(line, length(line) - 5)")).when(
+        key == 1, F.concat(F.expr("left(line, length(line) - 1)"), F.lit(',"Extra":"x"}'))).otherwise(F.col("line"))
+    _ctx(spark, sf).raw_source.withColumn("line", F.to_json(F.struct("*"))).select(line.alias("value")).write.text(path)
+    good, rejects = split_sales_lines(spark, path, SOURCE_NAMES)
+    outcomes = good.select(F.lit("kept").alias("outcome")).unionByName(rejects.select(F.col("reject_reason").alias("outcome")))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("s15_malformed_forecast_lines", O.compose(
+    "SELECT country_region, brand, forecast, year FROM forecast WHERE year % 2 = 0", "forecast"))
+def s15(spark, sf):
+    """Forecast lines of odd years arrive cut off; the others are read."""
+    path = scratch_path(spark, "bad-forecast")
+    line = F.to_json(F.struct("countryRegion", "brand", "year", "forecast"))
+    _ctx(spark, sf).forecast_records.select("year", line.alias("line")).select(
+        F.when(F.col("year") % 2 != 0, F.expr("left(line, length(line) - 3)")).otherwise(F.col("line")).alias("value")) \
+        .write.text(path)
+    return forecast_rows(split_forecast_lines(spark, path)[0])
+
+
+@query("s16_csv_line_breaks", O.compose(
+    "SELECT CUSTOMERKEY AS customer, concat(CUSTOMER_CODE, chr(10), 'a', chr(13), '%0A', '\"\\') AS text, "
+    "CAST(count(*) AS BIGINT) AS n FROM raw GROUP BY ALL", "raw"))
+def s16(spark, sf):
+    """Text with line breaks, quotes, backslashes and percent signs
+    comes back from CSV as it was."""
+    path = scratch_path(spark, "csv-breaks")
+    odd = F.concat("CUSTOMER_CODE", F.lit('\na\r%0A"\\'))
+    append_bronze(normalize_columns(_ctx(spark, sf).raw_source).withColumn("NAME", odd), path, fmt="csv")
+    return read_bronze(spark, path, fmt="csv").groupBy(F.col("CUSTOMERKEY").alias("customer"), F.col("NAME").alias("text")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("s11_bronze_csv", O.compose(_RAW_CMP_SQL.format(src="raw"), "raw"))
 def s11(spark, sf):
     path = scratch_path(spark, "bronze-csv")
@@ -150,7 +223,6 @@ def s11(spark, sf):
 def s12(spark, sf):
     """Raw records land as two JSON-lines drops; a file stream appends each
     file to bronze once (running the stream twice adds nothing)."""
-    from starloom.sources.driver_tables import SOURCE_NAMES
     from starloom.streaming import ingest_sales_files
     src, bronze, ckpt = (scratch_path(spark, n) for n in ("drop", "bronze", "stream-ckpt"))
     first, second = split_by_order_date(_ctx(spark, sf).raw_source, BATCH_CUT)
@@ -171,9 +243,9 @@ def p01(spark, sf):
 
 
 @query("p02_select_reorder", O.compose(
-    "SELECT date_key, date, year, month, day FROM ddim", "ddim"))
+    "SELECT customer_code, customer_key, name FROM cust", "cust"))
 def p02(spark, sf):
-    return _ctx(spark, sf).date_dim.select("date_key", "date", "year", "month", "day")
+    return _ctx(spark, sf).customer_dim.select("customer_code", "customer_key", "name")
 
 
 @query("p03_business_key_alias", O.compose(
@@ -398,7 +470,7 @@ def a02(spark, sf):
 @query("a03_max_price_per_product", O.compose(
     "SELECT * EXCLUDE (last_order_date) FROM (" + O._versions("silver") + ")", "silver"))
 def a03(spark, sf):
-    return dims.product_versions(_ctx(spark, sf).silver).drop("last_order_date")
+    return dims.product_versions(_ctx(spark, sf).silver).drop("last_order_date", "first_order_date")
 
 
 @query("a04_sum_by_country_brand_year", O.compose("SELECT * FROM agg", "agg"))
@@ -679,6 +751,14 @@ def c05(spark, sf):
     return _ctx(spark, sf).customer_dim
 
 
+@query("c05b_customer_type1", O.compose(
+    "SELECT count(*) AS customers, count(DISTINCT customer_code) AS codes FROM cust WHERE customer_key <> -1", "cust"))
+def c05b(spark, sf):
+    """C5, one row per code: as many customers as codes."""
+    dim = dims.customer_dimension(_ctx(spark, sf).silver, type1=True).filter(F.col("customer_key") != -1)
+    return dim.agg(F.count(F.lit(1)).alias("customers"), F.countDistinct("customer_code").alias("codes"))
+
+
 @query("c06_product_dimension_initial", O.compose("SELECT * FROM prod", "prod"))
 def c06(spark, sf):
     return _ctx(spark, sf).product_dim

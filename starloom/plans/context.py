@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dims, facts, scd2
 from starloom.operators.silver import clean_sales
+from starloom.session import scratch_path
 from starloom.sources.bronze import normalize_columns, stamp_ingestion
 from starloom.sources.driver_tables import raw_sales_records, table
 
@@ -45,6 +46,13 @@ class Context:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        """Written once to the shared folder and read back: later queries of
+        the session share it, and a lost executor takes nothing with it."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     # -- raw / bronze / silver ---------------------------------------------
     @cached_property
     def raw_source(self) -> DataFrame:
@@ -57,12 +65,12 @@ class Context:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return clean_sales(self.bronze).cache()
+        return self._staged(clean_sales(self.bronze), "ctx-silver")
 
     # -- dimensions ---------------------------------------------------------
     @cached_property
     def date_dim(self) -> DataFrame:
-        return dims.date_dimension(self.spark, FIXTURE_DATE_START, FIXTURE_DATE_END).cache()
+        return dims.date_dimension(self.spark, FIXTURE_DATE_START, FIXTURE_DATE_END)
 
     @cached_property
     def order_day_range(self) -> tuple[dt.date, dt.date]:

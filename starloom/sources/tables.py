@@ -3,12 +3,17 @@
 Parquet has no transactional overwrite, and overwriting a folder that the
 same plan reads fails.  Each write therefore goes to a new version folder
 ``<root>/<table>/v<NNNNNN>``; readers take the highest complete version
-(one with ``_SUCCESS``).  Appends go into the current version.
+(one with ``_SUCCESS``) and the complete batches appended to it, each in a
+folder of its own (``v<NNNNNN>-<batch>``).  A failed write leaves a folder without
+``_SUCCESS``: no reader sees it and no later write uses its number.  An append
+that is tried again under its batch name replaces what a failed try left, and
+does nothing once the batch is complete.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +21,7 @@ from pyspark.sql import types as T
 
 from starloom.schemas import LAYERS
 
-_VERSION = re.compile(r"^v(\d{6})$")
+_VERSION = re.compile(r"^v(\d{6,})(?:-(.+))?$")
 
 
 class TableStore:
@@ -31,30 +36,44 @@ class TableStore:
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs, path
 
-    def _versions(self, name: str) -> list[int]:
+    def _folders(self, name: str) -> list[tuple[int, str | None, bool]]:
+        """(version, batch or None, complete) of every folder."""
         fs, path = self._fs_path(f"{self.root}/{name}")
         if not fs.exists(path):
             return []
         out = []
         for st in fs.listStatus(path):
             m = _VERSION.match(st.getPath().getName())
-            if m and fs.exists(self._fs_path(f"{st.getPath().toString()}/_SUCCESS")[1]):
-                out.append(int(m.group(1)))
-        return sorted(out)
+            if m:
+                done = fs.exists(self._fs_path(f"{st.getPath().toString()}/_SUCCESS")[1])
+                out.append((int(m.group(1)), m.group(2), done))
+        return sorted(out, key=lambda x: (x[0], x[1] or ""))
+
+    def _versions(self, name: str) -> list[int]:
+        return [v for v, batch, done in self._folders(name) if batch is None and done]
 
-    def _version_path(self, name: str, v: int) -> str:
-        return f"{self.root}/{name}/v{v:06d}"
+    def _next_version(self, name: str) -> int:
+        return max((v for v, _, _ in self._folders(name)), default=0) + 1
+
+    def _version_path(self, name: str, v: int, batch: str | None = None) -> str:
+        return f"{self.root}/{name}/v{v:06d}" + (f"-{batch}" if batch else "")
 
     def current_path(self, name: str) -> str | None:
         vs = self._versions(name)
         return self._version_path(name, vs[-1]) if vs else None
 
+    def current_paths(self, name: str) -> list[str]:
+        """The current version and its complete batches."""
+        vs = self._versions(name)
+        return [self._version_path(name, v, batch) for v, batch, done in self._folders(name)
+                if done and vs and v == vs[-1]]
+
     # -- S4 -----------------------------------------------------------------
     def read(self, name: str) -> DataFrame:
-        p = self.current_path(name)
-        if p is None:
+        paths = self.current_paths(name)
+        if not paths:
             raise FileNotFoundError(f"table {name!r} has no complete version under {self.root}")
-        return self.spark.read.parquet(p)
+        return self.spark.read.parquet(*paths)
 
     def exists(self, name: str) -> bool:
         return self.current_path(name) is not None
@@ -67,19 +86,49 @@ class TableStore:
         to it (truncate + reload keeping the declared schema)."""
         if schema is not None:
             df = conform(df, schema)
-        vs = self._versions(name)
-        path = self._version_path(name, (vs[-1] + 1) if vs else 1)
+        path = self._version_path(name, self._next_version(name))
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         return self.spark.read.parquet(path)
 
-    def append(self, df: DataFrame, name: str) -> DataFrame:
-        """S3: append into the current version (creating version 1)."""
-        p = self.current_path(name) or self._version_path(name, 1)
-        df.write.mode("append").parquet(p)
-        return self.spark.read.parquet(p)
+    def append(self, df: DataFrame, name: str, batch: str | None = None) -> DataFrame:
+        """S3: add a batch to the current version (creating the first one).
+        With a ``batch`` name the call may be repeated: a complete batch of
+        that name stays as it is."""
+        vs = self._versions(name)
+        if not vs:
+            empty = self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+            self.write(empty, name)
+            vs = self._versions(name)
+        batch = batch or uuid.uuid4().hex
+        if not re.fullmatch(r"[\w.=-]+", batch):
+            raise ValueError(f"batch name {batch!r}: letters, digits, '.', '_', '=' and '-' only")
+        if (vs[-1], batch, True) not in self._folders(name):
+            df.write.mode("overwrite").parquet(self._version_path(name, vs[-1], batch))
+        return self.read(name)
+
+    def batches(self, name: str) -> list[str]:
+        """Names of the current version's complete batches."""
+        vs = self._versions(name)
+        return [b for v, b, done in self._folders(name) if b and done and vs and v == vs[-1]]
+
+    def read_batch(self, name: str, batch: str) -> DataFrame:
+        """The rows of one appended batch."""
+        return self.spark.read.parquet(self._version_path(name, self._versions(name)[-1], batch))
+
+    def expire(self, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the ``keep`` newest complete versions (with their
+        batches) and what failed writes left below the current one."""
+        vs, gone = self._versions(name), []
+        old = set(vs[:-keep] if keep else vs)
+        for v, batch, done in self._folders(name):
+            if v in old or (vs and not done and v < vs[-1]):
+                fs, path = self._fs_path(self._version_path(name, v, batch))
+                fs.delete(path, True)
+                gone.append(path.toString())
+        return gone
 
     # -- S7 -----------------------------------------------------------------
     def copy(self, source: str, target: str, schema: T.StructType | None = None) -> DataFrame:

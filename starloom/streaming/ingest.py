@@ -25,7 +25,9 @@ def ingest_sales_files(spark: SparkSession, source_dir: str, bronze_path: str,
     executor) neither skips nor repeats a file.  ``available_now`` processes
     what is there and stops; otherwise the query keeps running.
     """
-    reader = spark.readStream.schema(source_schema(names)).option("primitivesAsString", True)
+    # a malformed line stops the stream instead of becoming a row of NULLs
+    reader = spark.readStream.schema(source_schema(names)).option("primitivesAsString", True) \
+        .option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = stamp_ingestion(normalize_columns(reader.json(source_dir)))
