@@ -12,17 +12,18 @@ confirmed on the full sets.
 
 Result: components of the confirmed links.  Equal sets are merged first, so
 exact copies cost a row each.  Within a bucket of a band no list of all pairs
-is made.  First each member is tested against the bucket's smallest one; then
-only pairs that the links so far leave in different components are looked at,
-on packed signatures in blocks, and the likeliest few per member and component
-are tested, more each round, until no untested candidate is left between
+is made.  First each member is tested against the bucket's smallest one.  Then
+the buckets whose members are still in different components are dealt to
+blocks, where packed signatures are compared in place; members of some likely
+pair meet again with their full sets, and the pairs between components are
+tested there.  What leaves a block are its members, then the links that join
 components.  So every candidate pair either is tested or joins two documents
 already connected; none is dropped.
 
 NULL, empty and blank texts have an empty set and link with nothing.  Rows
 that share an id are one document in the graph; rows with a NULL id have no
-component and are kept.  Candidate search misses a link of similarity 0.85
-with probability below 1e-6 per pair, one of 0.8 below 1e-4.
+component and are kept.  Candidate search misses a link of exactly the
+least similarity with a probability below 1e-4 per pair.
 """
 
 from __future__ import annotations
@@ -41,9 +42,9 @@ from starloom.llm.common import components, fresh, key_filter, staged
 MINIMA, BITS, ROWS = 128, 4, 5
 BANDS = MINIMA // ROWS
 WORDS_PACKED = MINIMA * BITS // 64
-SIGMAS = 5
+SIGMAS = 4
 #: Members of a bucket that are compared at once.
-BLOCK = 1024
+BLOCK = 512
 SIGNATURE = [f"s{i}" for i in range(WORDS_PACKED)]
 
 # A-Z to a-z; bytes.split() then splits on the white space of the contract.
@@ -151,12 +152,13 @@ def least_estimate(similarity: float) -> float:
     return similarity - SIGMAS * math.sqrt(p * (1 - p) / MINIMA) / (1 - chance)
 
 
-def _between(pdf: pd.DataFrame, least: float, limit: int, percent: int) -> pd.DataFrame:
-    """Likeliest pairs between components in whole blocks of rows sorted by
-    block: per member and other component ``limit`` at most, with a mark if
-    there were more."""
+def _likely(pdf: pd.DataFrame, least: float, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows of one block, between components, that the signatures
+    find likely: places and estimates.  A pair that shares several buckets
+    belongs to the one of the first band."""
     sig = pdf[SIGNATURE].to_numpy(np.int64).view(np.uint64)
-    block, node, comp = pdf["block"].to_numpy(), pdf["node"].to_numpy(), pdf["component"].to_numpy()
+    bands = np.array(list(pdf["bands"]), np.int64)
+    block, comp, band = pdf["block"].to_numpy(), pdf["component"].to_numpy(), pdf["band"].to_numpy()
     size, side = pdf["n"].to_numpy(), pdf["side"].to_numpy()
     mask, chance = np.uint64(int("1" * (64 // BITS), 1 << BITS)), 1 / (1 << BITS)
     first, found = np.arange(len(pdf)), []
@@ -177,24 +179,49 @@ def _between(pdf: pd.DataFrame, least: float, limit: int, percent: int) -> pd.Da
             differ += np.bitwise_count(d & mask)
         est = ((1 - differ / MINIMA) - chance) / (1 - chance)
         near = est >= least
-        if near.any():
-            found.append((i[near], j[near], est[near]))
+        i, j, est = i[near], j[near], est[near]
+        if len(i):
+            shared = bands[i] == bands[j]
+            own = shared.argmax(axis=1) == band[i]
+            found.append((i[own], j[own], est[own]))
     if not found:
-        return pd.DataFrame({"a": node[:0], "b": node[:0], "more": np.zeros(0, bool)})
-    i, j, est = (np.concatenate(x) for x in zip(*found))
-    keep = np.zeros(len(i), bool)
-    for x, y in ((i, j), (j, i)):
-        order = np.lexsort((node[y], -est, comp[y], x))
-        new = np.r_[True, (x[order][1:] != x[order][:-1]) | (comp[y][order][1:] != comp[y][order][:-1])]
-        start = np.flatnonzero(new)
-        rank = np.arange(len(x)) - np.repeat(start, np.diff(np.append(start, len(x))))
-        keep[order[rank < limit]] = True
-    a, b = node[i[keep]], node[j[keep]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "more": not keep.all()}).drop_duplicates()
-
-
-def _blocks(rows: Iterator[pd.DataFrame], least: float, limit: int, percent: int) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by block; one cut by a batch's end waits."""
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _members(pdf: pd.DataFrame, least: float, percent: int) -> pd.DataFrame:
+    """Rows that are in some likely pair."""
+    i, j, _ = _likely(pdf, least, percent)
+    return pdf[["block", "node"]].iloc[np.unique(np.r_[i, j])]
+
+
+def _links(pdf: pd.DataFrame, least: float, percent: int) -> pd.DataFrame:
+    """Likely pairs tested on the full sets, likeliest first; pairs that links
+    found here already connect need no test."""
+    i, j, est = _likely(pdf, least, percent)
+    node, comp, sets = pdf["node"].to_numpy(), pdf["component"].to_numpy(), list(pdf["set"])
+    up: dict = {}
+
+    def find(x):
+        while (y := up.get(x, x)) != x:
+            x = y
+        return x
+
+    out = []
+    for k in np.argsort(-est, kind="stable"):
+        a, b = find(comp[i[k]]), find(comp[j[k]])
+        if a != b:
+            x, y = sets[i[k]], sets[j[k]]
+            common = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                up[max(a, b)] = min(a, b)
+                out.append((node[i[k]], node[j[k]]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype({"a": node.dtype, "b": node.dtype})
+
+
+def _blocks(rows: Iterator[pd.DataFrame], of, least: float, percent: int) -> Iterator[pd.DataFrame]:
+    """Whole blocks to ``of``.  Rows come sorted by block; one cut by a batch's
+    end waits."""
     rest = None
     for pdf in rows:
         if rest is not None:
@@ -202,9 +229,9 @@ def _blocks(rows: Iterator[pd.DataFrame], least: float, limit: int, percent: int
         whole = (pdf["block"] != pdf["block"].iloc[-1]).to_numpy()
         rest = pdf[~whole]
         if whole.any():
-            yield _between(pdf[whole], least, limit, percent)
+            yield of(pdf[whole], least, percent)
     if rest is not None and len(rest):
-        yield _between(rest, least, limit, percent)
+        yield of(rest, least, percent)
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -233,7 +260,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     member = staged(filled.select("id", "h1", "h2").join(groups, ["h1", "h2"]).select("id", "node").distinct(), "members")
     nodes = staged(filled.join(groups, ["h1", "h2"]).filter(F.col("id") == F.col("node"))
                    .drop("id", "h1", "h2").dropDuplicates(["node"]), "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("key"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     hubs = staged(banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"),
                                             F.count(F.lit(1)).alias("members"))
                   .filter("hub < top").drop("top"), "hubs")
@@ -256,30 +283,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     tested = staged(likely(buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
                            .distinct()), "tested")
     links = staged(_confirm(tested, sets, percent), "links")
-    limit = 8
-    while True:
-        label = staged(components(links), "labels")
-        at = buckets.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-            .filter("lo < hi").select("key")
-        parts = F.ceil(F.col("members") / F.lit(block)).cast("int")
-        own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-        # a bucket of many members: every pair of its parts is a block; in a part's own block all are compared
-        dealt = at.join(mixed, "key").withColumn("parts", parts).withColumn("own", own) \
-            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
-            .select("node", "component", F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with")).alias("block"),
-                    F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1).alias("side"))
-        dealt = dealt.join(sig, "node").repartition("block").sortWithinPartitions("block")
-        found = staged(dealt.mapInPandas(lambda it, k=limit: _blocks(it, least, k, percent),
-                                         f"a {id_type}, b {id_type}, more boolean")
-                       .groupBy("a", "b").agg(F.max("more").alias("more")), "between")
-        new = staged(found.select("a", "b").join(tested, ["a", "b"], "left_anti"), "untested")
-        fresh_links = staged(_confirm(new, sets, percent), "links")
-        links, tested = links.unionByName(fresh_links), tested.unionByName(new)
-        if not found.filter("more").limit(1).count():
-            break  # every candidate between components has been tested
-        limit *= 4
+    # buckets whose members are in several components yet; one of many members is dealt to parts, and every pair
+    # of parts is a block (in a part's own block all are compared)
     label = staged(components(links), "labels")
+    at = buckets.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .filter("lo < hi").select("key")
+    parts = F.ceil(F.col("members") / F.lit(block)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = staged(at.join(mixed, "key").withColumn("parts", parts).withColumn("own", own)
+                   .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+                   .select("node", "component", "band",
+                           F.xxhash64("key", F.least("own", "with"), F.greatest("own", "with")).alias("block"),
+                           F.when(F.col("own") == F.col("with"), 2).when(F.col("own") < F.col("with"), 0).otherwise(1).alias("side")),
+                   "blocks")
+
+    def in_blocks(rows: DataFrame, of, schema: str) -> DataFrame:
+        return rows.repartition("block").sortWithinPartitions("block") \
+            .mapInPandas(lambda it: _blocks(it, of, least, percent), schema)
+
+    asked = staged(in_blocks(dealt.join(nodes, "node"), _members, f"block long, node {id_type}"), "likely")
+    more = in_blocks(dealt.join(asked, ["block", "node"]).join(nodes, "node").join(sets, "node"), _links,
+                     f"a {id_type}, b {id_type}")
+    label = staged(components(links.unionByName(staged(more, "links"))), "labels")
     out = sketch.select("id", F.col("n").alias("n_shingles")).join(member, "id", "left").join(label, "node", "left")
     component = F.coalesce("component", "node", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
