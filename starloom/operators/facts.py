@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import assign_keys, broadcast_if_bounded
+from starloom.operators.keys import broadcast_if_bounded, number_rows
 from starloom.operators.quality import exact_sum
 from starloom.operators.scd2 import scd2_lookup
 from starloom.schemas import FACT_SALES
@@ -14,6 +14,10 @@ from starloom.schemas import FACT_SALES
 # Dimension rows we are willing to broadcast after a probe of rows and bytes.
 BROADCAST_MAX_ROWS = 1_000_000
 
+# Columns of silver that the fact is made of.
+SALES_COLUMNS = ["PRODUCTKEY", "CUSTOMER_CODE", "CONTINENT", "COUNTRY_REGION", "CITY", "STATE",
+                 "ORDER_DATE", "QUANTITY", "NET_PRICE"]
+
 FORECAST_KEYS = ["country_region", "brand", "year"]
 
 
@@ -29,15 +33,10 @@ def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFram
     - date: exact equality of the day with the order timestamp (J3; an
       order with a time of day misses), or ``date_grain='day'`` for the day.
     Missing keys become -1 (P5); amount = quantity * price (P4, NULL-safe).
-    Transaction keys follow (order date, product, customer, location,
-    quantity, price).  Rows that tie on all six are identical fact rows, so
-    their order among themselves does not matter; a hash of the silver row
-    is added as the last ordering column so that a large group of such ties
-    is spread over several range partitions instead of one task.
+    Transaction keys are dense and in no particular order, as generated keys
+    are: the joined rows are written once, where they lie, and numbered.
     """
-    source_cols = [c for c in silver.columns if c != "TRANSFORMED_DATE"]
-    s = silver.withColumn("_tie", F.xxhash64(*source_cols))
-    s = scd2_lookup(s, product_dim)
+    s = scd2_lookup(silver.select(*SALES_COLUMNS), product_dim)
 
     c = broadcast_if_bounded(
         customer_dim.filter(F.col("customer_code").isNotNull())
@@ -60,7 +59,6 @@ def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFram
     s = s.join(d, lhs == rhs, "left")
 
     unkeyed = s.select(
-        "ORDER_DATE", "_tie",
         F.col("product_key").cast("long").alias("product_key"),
         F.coalesce(F.col("_c_key"), F.lit(-1)).cast("long").alias("customer_key"),
         F.coalesce(F.col("_l_key"), F.lit(-1)).cast("long").alias("location_key"),
@@ -72,9 +70,7 @@ def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFram
         (F.col("QUANTITY").cast("double") * F.col("NET_PRICE").cast("double"))
         .alias("total_amount"),
     )
-    keyed = assign_keys(unkeyed, ["ORDER_DATE", "product_key", "customer_key",
-                                  "location_key", "quantity", "net_price", "_tie"],
-                        "transaction_key")
+    keyed = number_rows(unkeyed, "transaction_key")
     return keyed.select(*FACT_SALES.fieldNames())
 
 

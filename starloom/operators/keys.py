@@ -40,12 +40,23 @@ def assign_keys(df: DataFrame, order_cols, key: str, start: int = 1) -> DataFram
     consecutive keys in an arbitrary but fixed order."""
     if key.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"key column {key!r} collides with an input column")
-    spark = df.sparkSession
     order = [_order(c) for c in order_cols]
+    return _numbered(df.repartitionByRange(*order).sortWithinPartitions(*order), key, start)
+
+
+def number_rows(df: DataFrame, key: str, start: int = 1) -> DataFrame:
+    """Dense keys start, start+1, ... in no particular order: as
+    ``assign_keys`` without its shuffle and sort.  ``df`` is computed once."""
+    if key.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"key column {key!r} collides with an input column")
+    return _numbered(df, key, start)
+
+
+def _numbered(df: DataFrame, key: str, start: int) -> DataFrame:
+    """Steps 2 to 4: keys in the order in which the rows lie."""
+    spark = df.sparkSession
     path = scratch_path(spark, "keys")
-    (df.repartitionByRange(*order)
-     .sortWithinPartitions(*order)
-     .withColumn(_PID, F.spark_partition_id())
+    (df.withColumn(_PID, F.spark_partition_id())
      .withColumn(_MID, F.monotonically_increasing_id())
      .write.parquet(path))
     staged = spark.read.parquet(path)

@@ -6,6 +6,8 @@ import io
 import os
 import re
 
+from pyspark.sql import functions as F
+
 from starloom.operators import facts, scd2
 from starloom.operators.silver import typed
 from starloom.schemas import BRONZE_BUSINESS_COLUMNS
@@ -26,7 +28,7 @@ def test_silver_runs_each_string_function_once(spark):
     assert plan.count("RLIKE(") == 6               # 4 numbers + 2 exact key checks
 
 
-def test_aggregate_reads_four_columns_and_shuffles_once(spark, tmp_root):
+def test_aggregate_reads_four_columns_and_reduces_before_its_joins(spark, tmp_root):
     fact = spark.createDataFrame(
         [(1, 1, 1, 1, 20070101, 2, 3.0, 6.0)],
         "transaction_key long, product_key long, customer_key long, location_key long, "
@@ -41,10 +43,39 @@ def test_aggregate_reads_four_columns_and_shuffles_once(spark, tmp_root):
     assert "ReadSchema: struct<product_key:bigint,location_key:bigint,date_key:int," \
            "total_amount:double>" in plan
     tree = plan.split("\n\n")[0]
-    assert len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", tree)) == 1
+    # partial sums by key combination, then by label: no row of the fact is shuffled itself
+    assert len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", tree)) == 2
     assert "SortMergeJoin" not in plan
 
 
+def test_fact_reads_nine_columns_and_has_no_range_shuffle(spark, tmp_root, monkeypatch):
+    from starloom.schemas import SILVER
+    path = os.path.join(tmp_root, "silver")
+    spark.createDataFrame([], SILVER).write.parquet(path)
+    prod = spark.createDataFrame([], "product_key long, product_number long, change_begin_date date, change_end_date date")
+    cust = spark.createDataFrame([], "customer_key long, customer_code string")
+    loc = spark.createDataFrame([], "location_key long, continent string, country_region string, state string, city string")
+    dd = spark.createDataFrame([], "date_key int, date date")
+    plans = []
+    monkeypatch.setattr(facts, "number_rows", lambda df, key: plans.append(_plan(df)) or df.withColumn(key, F.lit(1)))
+    facts.sales_fact(spark.read.parquet(path), prod, cust, loc, dd)
+    scan = re.search(r"ReadSchema: struct<(PRODUCTKEY[^>]*)>|ReadSchema: struct<([^>]*NET_PRICE[^>]*)>", plans[0])
+    assert len((scan[1] or scan[2]).split(",")) == 9
+    assert "rangepartitioning" not in plans[0]
+
+
+def test_reconcile_reads_each_table_once(spark, tmp_root):
+    from starloom.operators import quality
+    frames = []
+    for name, cols in (("s", "QUANTITY long, NET_PRICE long"), ("f", "date_key int, total_amount double"),
+                       ("a", "total_actual_sales double")):
+        spark.createDataFrame([], cols).write.parquet(os.path.join(tmp_root, name))
+        frames.append(spark.read.parquet(os.path.join(tmp_root, name)))
+    plan = _plan(quality.reconcile(*frames)).split("\n\n")[0]
+    assert plan.count("Scan parquet") == 3
+    assert "PushedFilters: [IsNotNull(date_key), EqualTo(date_key,-1)]" in _plan(quality.unknown_date_rows(frames[1]))
+
+
 def test_scd2_lookup_is_an_equi_join_with_a_range_residual(spark):
     dim = spark.createDataFrame([(10, 1, dt.date(2007, 1, 1), dt.date(9999, 12, 31))],
                                 "product_key long, product_number long, "
