@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import dates as fd
@@ -21,7 +21,7 @@ from starloom.functions import text as ft
 from starloom.operators import dims, quality, scd2
 from starloom.operators.facts import BROADCAST_MAX_ROWS, forecast_vs_actual
 from starloom.operators.keys import broadcast_if_bounded, with_unknown_member
-from starloom.operators.silver import drop_exact_duplicates, split_dead_letter
+from starloom.operators.silver import clean_sales, drop_exact_duplicates, split_dead_letter
 from starloom.plans import oracle as O
 from starloom.plans.context import BATCH_CUT, context
 from starloom.schemas import (
@@ -316,6 +316,63 @@ def p09(spark, sf):
     return ok.filter(F.col("row_count") > 0).unionByName(rejected)
 
 
+_DIRT_EVERY = 20
+_DIRTY = f"""
+(SELECT DISTINCT * EXCLUDE (QUANTITY, NET_PRICE_D, ORDERDATE, PRODUCTKEY, EDUCATION, k),
+  CASE k WHEN 1 THEN '1.5' WHEN 2 THEN '0' WHEN 3 THEN '-2' WHEN 4 THEN 'abc' WHEN 5 THEN NULL ELSE QUANTITY END AS q,
+  CASE k WHEN 6 THEN 0 WHEN 7 THEN NULL ELSE NET_PRICE_D END AS p,
+  CASE k WHEN 8 THEN NULL ELSE ORDERDATE END AS d, CASE k WHEN 9 THEN NULL ELSE PRODUCTKEY END AS product,
+  CASE k WHEN 10 THEN NULL ELSE EDUCATION END AS edu
+  FROM (SELECT *, CAST(CUSTOMERKEY AS BIGINT) % {_DIRT_EVERY} AS k FROM raw))"""
+
+
+def dirty_records(raw: DataFrame) -> DataFrame:
+    """Raw records in which some customers have odd values: fractional, zero,
+    negative, worded and missing quantities, bad prices and dates, missing
+    products, blanks from outside ASCII."""
+    k = F.col("CustomerKey").cast("long") % _DIRT_EVERY
+
+    def odd(name: str, values: dict) -> Column:
+        c = F.col(name)
+        for n, v in values.items():
+            c = F.when(k == n, F.lit(v)).otherwise(c)
+        return c.alias(name)
+
+    dirt = {"Quantity": {1: "1.5", 2: "0", 3: "-2", 4: "abc", 5: None}, "Net-Price": {6: "0", 7: "n/a"},
+            "OrderDate": {8: "some day"}, "ProductKey": {9: None}, "Education": {10: "\u00a0\u3000 "}}
+    return raw.select(*[odd(c, dirt.get(c, {})) if c in dirt else F.col(f"`{c}`") for c in raw.columns])
+
+
+@query("p09b_dead_letter_reasons", O.compose(f"""
+SELECT CASE WHEN q = '1.5' THEN 'fractional_quantity' WHEN q IN ('0', '-2') THEN 'non_positive_quantity'
+            WHEN round_even(p, 0) <= 0 THEN 'non_positive_price' ELSE 'accepted' END AS outcome, count(*) AS n
+FROM {_DIRTY} GROUP BY 1""", "raw"))
+def p09b(spark, sf):
+    """P9 on odd values: every reason to reject occurs."""
+    bronze = stamp_ingestion(normalize_columns(dirty_records(_ctx(spark, sf).raw_source)))
+    good, bad = split_dead_letter(bronze)
+    outcomes = good.select(F.lit("accepted").alias("outcome")).unionByName(bad.select(F.col("reject_reason").alias("outcome")))
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("c01b_clean_odd_values", O.compose(f"""
+SELECT count(*) AS rows, count(*) FILTER (WHERE d IS NULL) AS no_date, count(*) FILTER (WHERE product IS NULL) AS no_product,
+       count(*) FILTER (WHERE try_cast(q AS DOUBLE) IS NULL) AS no_quantity, count(*) FILTER (WHERE p IS NULL) AS no_price,
+       count(*) FILTER (WHERE edu IS NULL OR trim(edu) = '') AS no_education,
+       count(*) FILTER (WHERE try_cast(q AS DOUBLE) <= 0) AS not_positive
+FROM {_DIRTY} WHERE q IS DISTINCT FROM '1.5'""", "raw"))
+def c01b(spark, sf):
+    """C1, F5, F6, F8 on odd values: a bad cell becomes NULL and leaves its
+    row's other cells alone."""
+    silver = clean_sales(stamp_ingestion(normalize_columns(dirty_records(_ctx(spark, sf).raw_source))))
+    n = lambda c: F.count(F.when(c, 1))
+    return silver.agg(F.count(F.lit(1)).alias("rows"), n(F.col("ORDER_DATE").isNull()).alias("no_date"),
+                      n(F.col("PRODUCTKEY").isNull()).alias("no_product"), n(F.col("QUANTITY").isNull()).alias("no_quantity"),
+                      n(F.col("NET_PRICE").isNull()).alias("no_price"),
+                      n(F.col("EDUCATION") == "Not Provided").alias("no_education"),
+                      n(F.col("QUANTITY") <= 0).alias("not_positive"))
+
+
 @query("p10_constant_column", O.compose("SELECT date_key, is_holiday FROM cal", "cal"))
 def p10(spark, sf):
     return _ctx(spark, sf).calendar.select("date_key", "is_holiday")
