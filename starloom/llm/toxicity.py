@@ -12,7 +12,7 @@
    boundary for a separator, one or two letters for a run), with a cost for the
    noise; Viterbi finds the reading that is likeliest under the model.  A plain
    word has one path and is its own reading.
-3. Weights of words and of their beginnings and ends come from labelled rows,
+3. Weights of words, and of beginnings and ends that many words share, come from labelled rows,
    as smoothed log odds less a standard error, counted over documents; near
    copies among these rows count once.  A document's evidence is that of its
    strongest words after decoding, and a logistic curve fitted on labelled rows
@@ -60,7 +60,9 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 COST_LEET, COST_DROP, COST_BREAK, COST_RUN, COST_PAIR = 1.0, 0.7, 1.5, 0.5, 1.5
 
 ORDER, BOUNDARY, OTHER, SYMBOLS = 4, 0, 27, 28
-PARTS = range(3, 7)
+PARTS = range(4, 7)
+#: A part that is found in so many times the documents of one word with it says no more than that word.
+WIDER = 1.25
 _EDGE = "".join(c for c in string.punctuation if c not in "$@") + "«»„“”‚‘’¿¡…"
 _RUN = re.compile(r"(.)\1\1")
 _SPACED = re.compile(r"\s(\S(?:\s\S){2,})(?=\s)")
@@ -200,8 +202,9 @@ def forms(text: str | None) -> set[str]:
 
 
 def parts(word: str) -> list[str]:
-    """A word, its beginnings and its ends."""
-    return [f"={word}", *(word[:k] for k in PARTS if k <= len(word)), *(f"~{word[-k:]}" for k in PARTS if k <= len(word))]
+    """A word (letters in a row taken as one, as decoding may leave either),
+    its beginnings and its ends."""
+    return [f"={_HELD.sub(r'\1', word)}", *(word[:k] for k in PARTS if k <= len(word)), *(f"~{word[-k:]}" for k in PARTS if k <= len(word))]
 
 
 class Evidence:
@@ -277,7 +280,14 @@ def _weights(ones: pd.DataFrame, zeros: pd.DataFrame, n1: int, n0: int, least: i
     toxicity."""
     both = ones.groupby("part")["n"].sum().to_frame("a") \
         .join(zeros.groupby("part")["n"].sum().to_frame("b")).fillna({"b": 0.0})
-    both = both[both["a"] >= least] + 0.5
+    both = both[both["a"] >= least]
+    # parts that only stand for one word would speak against others that merely look like it
+    word: dict[str, int] = {}
+    for part, n in both["a"].items():
+        if part[0] == "=":
+            for p in parts(part[1:])[1:]:
+                word[p] = max(word.get(p, 0), n)
+    both = both[[p[0] == "=" or n > WIDER * word.get(p, 0) for p, n in both["a"].items()]] + 0.5
     w = np.log(both["a"] / (n1 + 1)) - np.log(both["b"] / (n0 + 1)) - np.sqrt(1 / both["a"] + 1 / both["b"])
     return w[w > 1].nlargest(MAX_WEIGHTS).astype(float).to_dict()
 
