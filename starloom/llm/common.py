@@ -73,8 +73,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-#: Bits of a key filter: 8 MB, whatever the number of keys.
-FILTER_BITS = 1 << 26
+#: Bits of a key filter: 4 MB, whatever the number of keys.
+FILTER_BITS = 1 << 25
 
 
 def key_filter(keys: DataFrame, col: str):
@@ -87,9 +87,9 @@ def key_filter(keys: DataFrame, col: str):
     """
     slot = F.pmod(F.xxhash64(col), F.lit(FILTER_BITS))
     words = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toPandas()
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    bits[words["w"].to_numpy()] = words["b"].to_numpy()
     shared = keys.sparkSession.sparkContext.broadcast(bits)
 
     @F.pandas_udf("boolean")
