@@ -14,7 +14,8 @@ are its constant text.  What remains are slots.  A page's main slot is its
 ``article`` (or ``main``) element; on pages without one it is the innermost
 container of the template that holds most of the host's running text.
 Template text, menus, page headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles are not part of a slot.
+comments, scripts and styles are not part of a slot; a class or form around the
+page's main text itself is layout and marks nothing.
 
 Inside a block white space becomes one blank; blocks are joined by a blank in
 page order; character references are decoded; nothing else is dropped or cut.
@@ -52,28 +53,92 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
           "th": {"td", "th"}, "option": {"option"}} | {t: {"p"} for t in (
               "article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split())}
 HOLDERS = set("article aside body div footer header main nav section table ul ol dl blockquote form".split())
-#: Words of class, id and role attributes that mark what isn't the article.
+#: Class, id and role names that mark what isn't the article, alone or together with words of KINDS only.
 MARKS = set("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies "
             "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar side "
             "menu nav navbar navigation breadcrumb breadcrumbs topbar masthead footer colophon copyright share sharing social "
             "related recommended recommendations comment comments commentlist respond reply replies disqus widget widgets "
             "toolbar pagination pager skip tracking".split())
+#: Words that only say where or what kind of a thing it is ("site-footer", "share-buttons").
+KINDS = set("a an the my our site page post entry article global main primary secondary top bottom left right upper lower inner outer "
+            "first second third sticky fixed mobile desktop box block bar area list item items link links button buttons icon icons "
+            "section wrap wrapper container holder group panel row inline text title header head form field policy banner message "
+            "articles posts stories news more count thread template plugin us this by on slot unit".split())
+#: Marks of what readers write, which may be longer than the article: never lifted.
+REPLIES = set("comment comments commentlist respond reply replies disqus".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
     |<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S | re.X)
-_ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 
 
 class Block:
     """A text block: where it stands, its text, what of it is in links, and
     whether something around it keeps it from the article."""
 
-    __slots__ = ("path", "text", "link", "out", "main")
+    __slots__ = ("path", "text", "link", "out", "main", "mark", "unit", "top")
 
-    def __init__(self, path, text, link, out, main):
+    def __init__(self, path, text, link, out, main, mark=-1, unit=-1, top=False):
         self.path, self.text, self.link, self.out, self.main = path, text, link, out, main
+        self.mark, self.unit, self.top = mark, unit, top
+
+
+def _attributes(attrs: str) -> tuple[list[str], list[str], bool]:
+    """Words of class, id and role, the marks among these names, and whether
+    the element is hidden."""
+    words: list[str] = []
+    marks: list[str] = []
+    hidden = False
+    for a in _ATTR.finditer(attrs):
+        name, value = a[1].lower(), a[2] or a[3] or a[4] or ""
+        if name in ("class", "id", "role"):
+            for one in value.lower().split():
+                found = _WORD.findall(one)
+                words += found
+                named = [w for w in found if w in MARKS]
+                if named and all(w in MARKS or w in KINDS for w in found):
+                    marks += named
+        elif name == "hidden":
+            hidden = hidden or value.lower() != "false"
+        elif name == "aria-hidden":
+            hidden = hidden or value.lower() == "true"
+        elif name == "style":
+            hidden = hidden or bool(_NONE.search(value))
+    return words, marks, hidden
+
+
+def _lift(blocks: list[Block], marks: list[tuple[int, bool, bool]], units: list[int]) -> None:
+    """Settle which blocks marks keep from the article.  A mark around the
+    page's main text tells of the layout, so it is lifted: one around an article
+    (or main) element longer than all unmarked text, or one that holds most of
+    the running text and the page's heading (a form on a page without an article:
+    most of the text)."""
+    shown = [b for b in blocks if not b.out]
+    groups: dict[tuple[int, int], list[int]] = {}
+    clean = {True: 0, False: 0}
+    for b in shown:
+        n = len(b.text) - b.link
+        if b.mark < 0:
+            clean[b.main] += n
+        else:
+            g = groups.setdefault((b.mark, b.unit if b.unit >= 0 and units[b.unit] == b.mark else -1), [0, 0])
+            g[0] += n
+            g[1] += b.top
+    whole = sum(clean.values()) + sum(n for n, _ in groups.values())
+    lifted: set[int] = set()
+    for (mark, unit), (n, top) in sorted(groups.items(), key=lambda x: -x[1][0]):
+        chain, at, replies = [], mark, False
+        while at >= 0:
+            chain.append(at)
+            replies = replies or marks[at][1]
+            at = marks[at][0]
+        if not replies and n and (n > (clean[True] or clean[False]) if unit >= 0 else n >= MAIN_SHARE * whole and (top or (marks[mark][2] and not clean[True]))):
+            lifted.update(chain)
+            break
+    for b in shown:
+        b.out = b.mark >= 0 and b.mark not in lifted
 
 
 def parse(page: str | None) -> tuple[list[Block], list[str]]:
@@ -83,18 +148,23 @@ def parse(page: str | None) -> tuple[list[Block], list[str]]:
     paths: list[str] = []
     if not page:
         return blocks, paths
-    stack: list[tuple[str, str, bool, bool]] = []  # name, path, out, main
+    stack: list[tuple[str, str, bool, bool, int, int]] = []  # name, path, out, main, mark, unit
+    marks: list[tuple[int, bool, bool]] = []  # the mark around it, of readers' words, a form
+    units: list[int] = []  # article and main elements: the mark around each
+    top = True
     buf: list[str] = []
     link = 0
 
     def flush() -> None:
-        nonlocal link
+        nonlocal link, top
         if buf:
             text = " ".join("".join(buf).split())
             if text:
-                name, path, out, main = next((x for x in reversed(stack) if x[0] not in INLINE), ("", "", False, False))
+                name, path, out, main, _, unit = next((x for x in reversed(stack) if x[0] not in INLINE), ("", "", False, False, -1, -1))
                 out = out or any(x[2] for x in stack)
-                blocks.append(Block(path, text, min(link, len(text)), out, main))
+                first = name == "h1" and top and not out
+                top = top and not first
+                blocks.append(Block(path, text, min(link, len(text)), out, main, stack[-1][4] if stack else -1, unit, first))
             buf.clear()
             link = 0
 
@@ -137,20 +207,31 @@ def parse(page: str | None) -> tuple[list[Block], list[str]]:
             at = stop.end() if stop else n
             continue
         attrs = m[3] or m[6] or ""
-        up = stack[-1] if stack else ("", "", False, False)
-        label, marked = name, False
-        if attrs:
-            words = [w for a in _ATTR.finditer(attrs) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())]
-            marked = (not MARKS.isdisjoint(words) and name not in ("html", "body")) or bool(_HIDDEN.search(attrs))
-            if words and name not in ("html", "body"):
+        up = stack[-1] if stack else ("", "", False, False, -1, -1)
+        label, marked, hidden, mark, unit = name, [], False, up[4], up[5]
+        if attrs and name not in ("html", "body"):  # what is said of the whole page tells nothing of its parts
+            words, marked, hidden = _attributes(attrs)
+            if words:
                 label = f"{name}.{'.'.join(words[:3])}"
-        main = up[3] or (name in MAIN and not marked)
-        out = up[2] or name in DROPPED or (marked and name not in MAIN) or (name == "header" and not main)
+        main = up[3] or (name in MAIN and not marked and not hidden)
+        out = up[2] or (name in DROPPED and name != "form") or (hidden and name not in MAIN) or (name == "header" and not main)
+        if name in MAIN:
+            if not marked and not hidden and (unit < 0 or units[unit] != mark):
+                units.append(mark)
+                unit = len(units) - 1
+            elif marked and mark >= 0 and not REPLIES.isdisjoint(marked):
+                marks.append((mark, True, False))
+                mark = len(marks) - 1
+        elif marked or name == "form":
+            marks.append((mark, not REPLIES.isdisjoint(marked), name == "form"))
+            mark = len(marks) - 1
         path = up[1] if name in INLINE else f"{up[1]}/{label}"
-        stack.append((name, path, out, main))
+        stack.append((name, path, out, main, mark, unit))
         if name not in INLINE:
             paths.append(path)
     flush()
+    if marks:
+        _lift(blocks, marks, units)
     return blocks, paths
 
 

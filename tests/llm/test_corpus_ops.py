@@ -229,6 +229,28 @@ def test_pages_odd_rows(spark):
     assert page_templates.digest(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_with_marks_around_the_article():
+    art, plain = page_templates.Template(None), "<article><h1>A</h1><p>The whole text of it.</p></article>"
+    around = ['<div class="overflow-hidden">', '<div class="overflow-x-hidden">', '<div style="overflow:hidden">', '<div class="content with-sidebar">',
+              '<div class="share-enabled">', '<form id="aspnetForm">', '<div class="sidebar"><form>', '<div class="content share" data-hidden="x">']
+    for tag in around:
+        assert page_templates.main_text(f"<body><nav>x</nav>{tag}{plain}<div class='share-buttons'>Share</div></body>", art) == "A The whole text of it."
+        assert page_templates.main_text(f"<body>{tag}<main>{plain}</main></body>", art) == "A The whole text of it."
+    for body in ('<body class="overflow-hidden">', '<body style="display:none">', "<body hidden>"):
+        assert page_templates.main_text(body + plain, art) == "A The whole text of it."
+    form = "<form><nav>Menu</nav><h1>A</h1><p>The whole text of it.</p><div class='site-footer'>Foot</div></form>"
+    assert page_templates.main_text(form, art) == "A The whole text of it."
+    # still out: hidden parts, marks inside the article, comments and notices longer than it, comments that are articles
+    long = "many words " * 50
+    for part in (f"<div hidden>{long}</div>", f'<p style="color:red; DISPLAY : none !important">{long}</p>', f'<div aria-hidden="true">{long}</div>',
+                 f'<div class="share">{long}</div>', f'<form>{long}</form>', f'<div id="main-nav">{long}</div>'):
+        assert page_templates.main_text(f"<article><h1>A</h1><p>Short.</p>{part}</article>", art) == "A Short."
+    for part in (f'<div id="comments"><article class="comment">{long}</article><article>{long}</article></div>', f'<div class="cookie-notice">{long}</div>',
+                 f'<section class="site-comments">{long}</section>'):
+        assert page_templates.main_text(f"<body><article><h1>A</h1><p>Short.</p></article>{part}</body>", art) == "A Short."
+        assert page_templates.main_text(f"<body><div><h1>A</h1><p>Short.</p></div>{part}</body>", art) == "A Short."
+
+
 def test_page_query_against_article_regions(spark):
     import html
     rows = duckdb.sql(f"select page_id, html from '{SF}/pages.parquet'").fetchall()
