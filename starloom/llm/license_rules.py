@@ -6,12 +6,14 @@ everything but letters and digits become one blank, British spelling of
 identifiers is matched against ordered rules: at each place the first rule
 whose identifiers follow one another there names the license, and the search
 goes on behind it.  Unknown sentences between known ones end a sequence,
-copyright lines and blank ones don't.
+copyright lines, blank ones and list markers ("1.", "(a)") don't.
 
 Sentences end at ``.``, ``;``, ``:``, ``!`` or ``?`` before white space, and at
 the end of the text.  A line break ends one too in a first reading; where that
 finds nothing, a second reading takes single line breaks as blanks, so
-sentences may be wrapped.  Offsets count code points of the text, ends are exclusive.  NULL
+sentences may be wrapped.  Known sentences that hold such an end themselves
+("Foundation; either version 2") are found as pieces in a row, and where a license
+names an organisation any name will do.  Offsets count code points of the text, ends are exclusive.  NULL
 and empty texts have no licenses; repeated rows are read one by one.
 """
 
@@ -31,7 +33,8 @@ SENTENCES = {
                    'Licensed under the Apache License, Version 2.0 (the "License")'],
     "apache-comply": ["you may not use this file except in compliance with the License"],
     "apache-obtain": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-                      "You may obtain a copy of the License at"],
+                      "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0",
+                   "You may obtain a copy of the License at"],
     "apache-asis": ['Unless required by applicable law or agreed to in writing, software distributed under the License is '
                     'distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied'],
     "apache-see": ["See the License for the specific language governing permissions and limitations under the License"],
@@ -75,6 +78,12 @@ SENTENCES = {
     "unlicense-ref": ["This is free and unencumbered software released into the public domain"],
     "all-rights": ["All rights reserved"],
 }
+# Known sentences with a name in them, as normalised, and how they begin.
+NAMED = {"bsd-endorse": (("neither the name", "the name"), re.compile(
+    r"(?:neither the names? of .+ nor the names? of .+ may|the names? of .+ may not) be used to endorse or promote products "
+    r"derived from this software without (?:specific )?prior written permission"))}
+#: Pieces that a sentence with a name may come in ("Neither the name of Some Co. Inc. nor ...").
+PIECES = 6
 # Rules in the order in which they are tried; longer sequences come before what they begin with.
 RULES = [
     ("Apache-2.0", ["apache-ref", "apache-comply", "apache-obtain", "apache-asis", "apache-see"]),
@@ -102,6 +111,8 @@ HINTS = ("license", "licence", "permission", "redistribut", "warrant", "copyrigh
 
 _PARTS = {True: re.compile(r"[^\n]*?(?:[.;:!?]+(?=\s|$)|\n|$)", re.S), False: re.compile(r".*?(?:[.;:!?]+(?=\s|\Z)|\n[^\S\n]*\n|\Z)", re.S)}
 _WORDS = re.compile(r"[^\W_]+")
+#: A list marker alone, or before a sentence.
+_MARKER = re.compile(r"[\W_]*(?:\d{1,3}|[a-z]|[ivx]{1,4})[.)\]:]+(?:\s+|\Z)", re.I)
 _IGNORED = re.compile(r"\s*(copyright|\(c\)|©)", re.I)
 
 
@@ -109,19 +120,45 @@ def normalise(sentence: str) -> str:
     return " ".join(_WORDS.findall(sentence.lower())).replace("licence", "license")
 
 
-# A text's sentence ends at ";" or ":"; known sentences that hold one are known by their parts too.
 KNOWN = {normalise(s): k for k, forms in SENTENCES.items() for s in forms}
+#: How known sentences begin, up to every word: a piece that is such a beginning may go on in the next one.
+BEGINNINGS = {s[:i] for s in KNOWN for i, c in enumerate(s) if c == " "}
 LONGEST = max(len(r) for _, r in RULES)
 
 
+def _identify(pieces: list[tuple[str, int, int]], i: int) -> tuple[str | None, int]:
+    """The identifier of the longest known sentence that begins with piece i,
+    and the piece behind it."""
+    found, words = (None, i + 1), ""
+    named = [(k, full) for k, (starts, full) in NAMED.items() if pieces[i][0].startswith(starts)]
+    for j in range(i, len(pieces)):
+        words = f"{words} {pieces[j][0]}" if words else pieces[j][0]
+        key = KNOWN.get(words) or next((k for k, full in named if full.fullmatch(words)), None)
+        if key:
+            found = key, j + 1
+        if words not in BEGINNINGS and (not named or found[0] or j - i + 1 >= PIECES):
+            break
+    return found
+
+
 def _reading(text: str, breaks: bool) -> list[tuple[str | None, int, int]]:
     """(identifier or None, start, end) of each sentence that counts."""
-    out = []
+    pieces = []
     for m in _PARTS[breaks].finditer(text):
-        words = _WORDS.search(m[0])
-        if not words or (_IGNORED.match(m[0]) and normalise(m[0]) not in KNOWN):
+        piece = m[0].rstrip()
+        marker = _MARKER.match(piece)
+        words = _WORDS.search(piece, marker.end() if marker else 0)
+        if not words:
             continue
-        out.append((KNOWN.get(normalise(m[0])), m.start() + words.start(), m.start() + len(m[0].rstrip())))
+        named = normalise(piece[words.start():])
+        if _IGNORED.match(piece) and named not in KNOWN:
+            continue
+        pieces.append((named, m.start() + words.start(), m.start() + len(piece)))
+    out, i = [], 0
+    while i < len(pieces):
+        key, behind = _identify(pieces, i)
+        out.append((key, pieces[i][1], pieces[behind - 1][2]))
+        i = behind
     return out
 
 

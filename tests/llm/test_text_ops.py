@@ -141,6 +141,86 @@ def test_license_sequences():
     assert (x["start"], x["end"]) == (21, 52)
 
 
+BSD = """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+{1} Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{2}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+ENDORSE = """
+{0} Neither the name of {1} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+
+
+def test_full_license_texts_wrapped_and_numbered():
+    def forms(text):  # as it stands, in one line per paragraph, as a comment
+        return [text, "\n\n".join(" ".join(x.split()) for x in text.split("\n\n")), re.sub("(?m)^(?=.)", " * ", text)]
+
+    def found(text):
+        return [(x["license"], text[x["start"]:x["end"]]) for x in license_rules.match_rules(license_rules.known_sentences(text))]
+    for marks in (("1.", "2.", "3."), ("(1)", "(2)", "(3)"), ("a)", "b)", "c)"), ("*", "*", "*"), ("-", "-", "-"), ("", "", "")):
+        for text in forms(BSD.format(marks[0], marks[1], "")):
+            (name, span), = found(text)
+            assert name == "BSD-2-Clause" and span.startswith("Redistribution and use") and span.endswith("with the distribution.")
+        for who in ("the copyright holder", "the University of X, Y", "Google Inc.", "the Some Co. Ltd."):
+            for text in forms(BSD.format(marks[0], marks[1], ENDORSE.format(marks[2], who))):
+                (name, span), = found(text)
+                assert name == "BSD-3-Clause" and span.endswith("written permission.")
+    for colon, comma, version in ((";", ";", 2), (":", ",", 3), (";", ";", 3), (":", ",", 2)):
+        for text in forms(GPL.format(colon, comma, version)):
+            assert [x[0] for x in found(text)] == [f"GPL-{version}.0-or-later"]
+    for text in forms(APACHE):
+        (name, span), = found(text)
+        assert name == "Apache-2.0" and span.endswith("limitations under the License.")
+    for text in forms(MPL):
+        assert [x[0] for x in found(text)] == ["MPL-2.0"]
+    # what stands between known sentences still ends a sequence
+    assert found(BSD.format("1.", "And another one.", "")) == []
+    assert [x[0] for x in found(BSD.format("1.", "2.", "\nAnother one.\n" + ENDORSE.format("3.", "X")))] == ["BSD-2-Clause"]
+
+
+def test_every_rule_by_its_sentences():
+    for name, rule in license_rules.RULES:
+        for mark in ("", "1. ", "(b) ", "* "):
+            for i in range(max(len(license_rules.SENTENCES[k]) for k in rule)):
+                text = "\n\n".join(mark + forms[min(i, len(forms) - 1)] + "." for forms in (license_rules.SENTENCES[k] for k in rule))
+                for t in (text, text.replace(" ", "\n")):
+                    assert [x["license"] for x in license_rules.match_rules(license_rules.known_sentences(t))] == [name], t
+
+
 def test_license_query(spark):
     got = {r.doc_id: r for r in QUERIES["op8_license_rules"](spark, SF).collect()}
     texts = duckdb.sql(f"select doc_id, text from '{SF}/documents.parquet'").fetchall()
