@@ -8,19 +8,20 @@ of a grouped aggregate and no host's pages ever meet in one task: each task adds
 up what it has read before the shuffle, and a host with a third of all pages
 costs a row per token and task.
 
-Classes that cover ``SHARE`` of a host's pages (``MIN_PAGES`` at least) are
-valid: their elements, nested by path, are the template, and their text blocks
-are its constant text.  What remains are slots.  A page's main slot is its
+Equal pages of a host are counted once here, so copies don't vote.  Classes of more than one token, nested in one another by path, that
+cover ``SHARE`` of a host's different pages (``MIN_PAGES`` at least) are valid: their
+elements are the template, and their text blocks are its constant text.  What
+remains are slots.  A page's main slot is its
 ``article`` (or ``main``) element; on pages without one it is the innermost
 container of the template that holds most of the host's running text.
-Template text, menus, page headers, footers, sidebars, notices, adverts, forms,
+Nothing inside an ``article`` (or ``main``) element is constant text.  Template text, menus, page headers, footers, sidebars, notices, adverts, forms,
 comments, scripts and styles are not part of a slot; a class or form around the
 page's main text itself is layout and marks nothing.
 
 Inside a block white space becomes one blank; blocks are joined by a blank in
 page order; character references are decoded; nothing else is dropped or cut.
 NULL and empty pages have an empty text; a NULL or odd url belongs to the host
-''; repeated rows are pages of their own.
+''; repeated rows each have their text.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import staged
+from starloom.llm.common import key_filter, staged
 
 SHARE, MIN_PAGES = 0.6, 10
 #: Share of the running text that the main slot of a template holds.
@@ -249,7 +250,7 @@ def _vectors(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame([(h, t, *v) for (h, t), v in total.items()], columns=["host", "token", "pages", "vector", "running"])
 
     for pdf in rows:
-        for page_id, host, page in zip(pdf["page_id"], pdf["host"], pdf["html"]):
+        for key, host, page in zip(pdf["key"], pdf["host"], pdf["html"]):
             blocks, paths = parse(page)
             seen: dict[str, list[int]] = {"": [1, 0]}
             for p in paths:
@@ -257,7 +258,8 @@ def _vectors(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in blocks:
                 if b.out:
                     continue
-                seen.setdefault(_token(b), [0, 0])[0] += 1
+                if not b.main:
+                    seen.setdefault(_token(b), [0, 0])[0] += 1
                 p = b.path
                 while p:
                     seen.setdefault(p, [0, 0])[1] += len(b.text) - b.link
@@ -268,7 +270,7 @@ def _vectors(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     t = f"#{xxhash.xxh3_128_hexdigest(t)}"
                 v = total.setdefault((host, t), [0, 0, 0])
                 v[0] += 1
-                v[1] ^= xxhash.xxh3_64_intdigest(f"{page_id}:{n}") - (1 << 63)
+                v[1] ^= xxhash.xxh3_64_intdigest(f"{key}:{n}") - (1 << 63)
                 v[2] += running
             if len(total) > 200_000:
                 yield frame()
@@ -281,10 +283,19 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
+def _distinct(pages: DataFrame) -> DataFrame:
+    """(key, host, html) of every different page of a host."""
+    rows = pages.select(F.xxhash64("host", "html").alias("key"), "host", "html")
+    # only pages that may have copies are shuffled
+    copied = key_filter(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "key")
+    rows = rows.withColumn("hit", copied(F.col("key")))
+    return rows.filter("not hit").unionByName(rows.filter("hit").dropDuplicates(["key"])).drop("hit")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, classes): the valid classes of every host as a list of token
     lists with the running text below each element."""
-    vectors = staged(pages.mapInPandas(_vectors, "host string, token string, pages long, vector long, running long")
+    vectors = staged(_distinct(pages).mapInPandas(_vectors, "host string, token string, pages long, vector long, running long")
                      .groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"),
                                                    F.sum("running").alias("running")), "vectors")
     hosts = vectors.filter("token = ''").select("host", F.col("pages").alias("all_pages"))
@@ -298,7 +309,7 @@ class Template:
     """What a host's valid classes say about its pages."""
 
     def __init__(self, classes):
-        tokens = [t for c in (classes if classes is not None else ()) for t in c["tokens"]]
+        tokens = [t for c in (classes if classes is not None else ()) if len(c["tokens"]) > 1 for t in c["tokens"]]
         self.text = {t["token"] for t in tokens if t["token"][:1] == "#"}
         running = {t["token"]: t["running"] for t in tokens if t["token"][:1] != "#"}
         whole = running.pop("", 0)
@@ -316,7 +327,7 @@ def main_text(page: str | None, template: Template) -> str:
     inside = [b for b in kept if b.main]
     if not inside and template.main:
         inside = [b for b in kept if b.path == template.main or b.path.startswith(f"{template.main}/")]
-    return " ".join(b.text for b in (inside or kept) if not (template.text and template.constant(b)))
+    return " ".join(b.text for b in (inside or kept) if b.main or not (template.text and template.constant(b)))
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

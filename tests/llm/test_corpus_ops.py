@@ -251,6 +251,26 @@ def test_pages_with_marks_around_the_article():
         assert page_templates.main_text(f"<body><div><h1>A</h1><p>Short.</p></div>{part}</body>", art) == "A Short."
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    story = "<body><div class=top><p>Welcome to us</p></div>{0}<h1>Head {1}</h1><p>Story of {1} with words.</p>{2}</body>"
+    names = ["copied"] * 30 + [f"n{'x' * i}" for i in range(12)]
+    for host, (a, b) in enumerate((("<article>", "</article>"), ("<div id=w>", "</div>"))):
+        rows = [(i if i % 3 else 1, f"https://h{host}.example/", story.format(a, f"{n} {i}" if i % 2 and not host else n, b))
+                for i, n in enumerate(names)]
+        out = page_templates.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        want = [re.sub("<[^>]*>", " ", h[h.find(a):]) for _, _, h in rows]
+        assert sorted(r.text for r in out) == sorted(" ".join(x.split()) for x in want)
+
+
+def test_template_classes_of_one_token_are_no_template():
+    token = lambda t, n=0: {"token": t, "running": n}
+    classes = [{"pages": 20, "tokens": [token("", 900), token("/body", 900), token("#/body/p\nShare this")]},
+               {"pages": 13, "tokens": [token("#/body/p\nBreaking news")]}]
+    page = "<body><p>Breaking news<p>A story<p>Share this"
+    assert page_templates.main_text(page, page_templates.Template(classes)) == "Breaking news A story"
+    assert page_templates.main_text(page.replace("<p>", "<article><p>", 1), page_templates.Template(classes)) == "Breaking news A story Share this"
+
+
 def test_page_query_against_article_regions(spark):
     import html
     rows = duckdb.sql(f"select page_id, html from '{SF}/pages.parquet'").fetchall()
