@@ -20,7 +20,9 @@ two members at least, and buckets of one are dropped.
    with that of the bytes at later and earlier offsets which all windows of
    the half share; it is done until the buckets are small, and members alone
    in a bucket go.  Large buckets so split over tasks instead of meeting in
-   one; small ones are finished window by window where they lie.
+   one; small ones are finished window by window where they lie.  A bucket for
+   one window start holds equal windows, which is counted as a group and met
+   by no task, however large it is.
 
 Buckets are identified by 64-bit hashes.  Row identity is the id together
 with a hash of the text, so repeated ids and rows are told apart or judged
@@ -79,7 +81,7 @@ def _sliding(op: np.ufunc, x: np.ndarray, w: int) -> np.ndarray:
 
 def chosen(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Chosen offsets, the hash of the gram there, and that of all bytes which
-    windows around it reach (cut at the document's ends)."""
+    windows around it reach (cut at the document's ends) and its place in them."""
     if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
     up, down = _powers()
@@ -98,7 +100,7 @@ def chosen(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
         last = len(data) if hi == len(data) else at + PART - 2 * length
         pos = pos[(pos + lo >= at) & (pos + lo < last)]
         s, e = np.maximum(pos - rim, 0), np.minimum(pos + gram + rim, len(a))
-        out.append((pos + lo, h[pos], mix(((sums[e] - sums[s]) * down[s]) ^ mix((e - s).astype(np.uint64)))))
+        out.append((pos + lo, h[pos], mix(((sums[e] - sums[s]) * down[s]) ^ mix(((e - s) << 32 | (pos - s)).astype(np.uint64)))))
         if hi == len(data):
             break
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -214,6 +216,9 @@ def _split(ctx: DataFrame, rim: int, limit: int) -> DataFrame:
         halves = halves.filter((F.length("left") >= F.col("lo")) & (F.length("right") >= rim - F.col("hi"))) \
             .withColumn("bucket", F.expr(f"xxhash64(bucket, lo, hi, substring(left, length(left) - lo + 1, lo), "
                                          f"substring(right, 1, {rim} - hi))"))
+        # its windows reach no more than the last hi bytes before the gram and the first rim - lo after it; one start is done
+        halves = halves.withColumn("left", F.expr("if(lo = hi, X'', substring(left, greatest(length(left) - hi, 0) + 1, hi))")) \
+            .withColumn("right", F.expr(f"if(lo = hi, X'', substring(right, 1, {rim} - lo))"))
         more = halves.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("bucket")
         ctx = staged(ctx.join(big, "bucket", "left_anti").unionByName(halves.join(more, "bucket")), "rims")
 
@@ -244,9 +249,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
         "bucket long, n long, key long, pos int, left binary, right binary") \
         .withColumn("lo", F.lit(0)).withColumn("hi", F.lit(rim)).withColumn("gram", F.lit(gram))
     ctx = _split(staged(ctx, "rims"), rim, bucket)
-    rims = ctx.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
+    # buckets of one window start have two members at least, all with the same window
+    equal = ctx.filter("lo = hi and n = 1").select("key", (F.col("pos") - F.col("lo")).alias("start"),
+                                                   (F.col("pos") - F.col("lo") + length).alias("end"))
+    rims = ctx.filter("lo < hi").repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
         lambda it: _finish_sorted(it, rim), "key long, start int, end int")
-    spans = settled.unionByName(rims)
+    spans = settled.unionByName(equal).unionByName(rims)
     return spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 

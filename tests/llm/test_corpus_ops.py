@@ -1,7 +1,9 @@
 """Near-duplicates, vectors, repeats, mixing, pages, toxicity, pipeline."""
 
+import os
 import random
 import re
+import tempfile
 
 import duckdb
 import numpy as np
@@ -147,6 +149,37 @@ def test_repeats_against_plain_version(spark, words, length, gram, bucket):
         == sorted((i, *e) for (i, _), e in zip(rows, expect))
 
 
+def test_repeats_equal_grams_in_one_short_text(spark, words):
+    rows = [(i, "-=*_.#~+"[i % 8] * 195 + " ".join(words(12, 700 + i))[:30]) for i in range(40)]
+    out = {r.doc_id: r for r in repeats.remove_repeats(_docs(spark, rows)).collect()}
+    assert plain.repeated_bytes([t for _, t in rows], 200) == [(t.encode(), 0, 0) for _, t in rows]
+    assert all(bytes(out[i].kept) == t.encode() and not out[i].removed for i, t in rows)
+
+
+def test_repeats_of_one_passage_in_other_surroundings_meet_in_no_task(spark, words, monkeypatch):
+    shared = " ".join(words(40, 77))[:40]
+    texts = [f"{' '.join(words(9, 500 + i))} {shared}{chr(97 + i % 26)}{' '.join(words(9, 900 + i))}" for i in range(120)]
+    most = []
+    finish = repeats._finish_sorted
+    log = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+    def counted(rows, rim):
+        def seen():
+            for pdf in rows:
+                with open(f"{log}/{os.getpid()}", "a") as f:
+                    f.write(f"{pdf.groupby('bucket').size().max()}\n")
+                yield pdf
+        return finish(seen(), rim)
+
+    monkeypatch.setattr(repeats, "_finish_sorted", counted)
+    out = repeats.remove_repeats(_docs(spark, list(enumerate(texts))), 40, 16, 8).collect()
+    expect = plain.repeated_bytes(texts, 40)
+    assert sorted((r.doc_id, bytes(r.kept)) for r in out) == sorted((i, e[0]) for i, e in enumerate(expect))
+    for name in os.listdir(log):
+        most += [int(x) for x in open(f"{log}/{name}").read().split()]
+    assert max(most, default=0) <= 8
+
+
 def test_repeats_long_texts_are_taken_in_parts(monkeypatch):
     data = np.random.default_rng(3).integers(97, 100, 20_000, np.uint8).tobytes()
     whole = repeats.chosen(data)
