@@ -6,8 +6,8 @@
    boundary and one symbol for the rest, so a model has 28 ** 4 grams at most
    however large the corpus is.
 2. Suspicious forms are decoded: words with digits or signs that stand for
-   letters, separators inside words, letters held down, and runs of single
-   letters set apart by blanks.  The lattice of a form has an arc for every
+   letters (at their ends and without any letter too), separators inside words,
+   letters held down, and runs of single letters set apart by white space.  The lattice of a form has an arc for every
    reading of a character (itself, the letters it stands for, nothing or a word
    boundary for a separator, one or two letters for a run), with a cost for the
    noise; Viterbi finds the reading that is likeliest under the model.  A plain
@@ -64,8 +64,10 @@ PARTS = range(4, 7)
 #: A part that is found in so many times the documents of one word with it says no more than that word.
 WIDER = 1.25
 _EDGE = "".join(c for c in string.punctuation if c not in "$@") + "«»„“”‚‘’¿¡…"
+#: Edges that stand for no letter.
+_OUTER = "".join(c for c in _EDGE if c not in LEET)
 _RUN = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"\s(\S(?:\s\S){2,})(?=\s)")
+_SPACED = re.compile(r"\s(\S(?:\s+\S){2,})(?=\s)")
 _HELD = re.compile(r"(.)\1*", re.S)
 
 
@@ -129,13 +131,15 @@ class Decoder:
 
     def _arcs(self, form: str) -> list[list[tuple[str, float]]]:
         units = []
+        bare = not any(c.isalpha() for c in form)  # signs alone would always be likeliest as nothing
         for m in _HELD.finditer(form):
             c, n = m[1], len(m[0])
             if c in LEET:
                 reads = [(x, COST_LEET * n) for x in LEET[c]]
                 if n > 1:
                     reads += [(x * 2, COST_LEET * n + COST_RUN) for x in LEET[c]]
-                units.append([(c * n, 0.0), *reads] if c.isdigit() else [*reads, (" ", COST_BREAK), ("", COST_DROP)])
+                units.append([(c * n, 0.0), *reads] if c.isdigit() else reads if bare
+                             else [*reads, (" ", COST_BREAK), ("", COST_DROP)])
             elif not c.isalnum():
                 units.append([("", COST_DROP), (" ", COST_BREAK)])
             elif n == 1:
@@ -186,9 +190,12 @@ class Reader(dict):
         if word.isalpha() and not _RUN.search(word):
             words = [word]
         elif any(c.isalpha() for c in word):
-            words = [w for w in self.decoder.decode(word).split() if w]
+            words = self.decoder.decode(word).split()
         else:
             words = []
+        whole = form.strip(_OUTER)  # edges may be letters or punctuation
+        if (whole != word or not words) and any(c in LEET for c in whole):
+            words = list(dict.fromkeys([*words, *self.decoder.decode(whole).split()]))
         out = self[form] = self.value(words) if self.value else words
         return out
 

@@ -350,6 +350,26 @@ def test_toxicity(spark, words):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if not r.predicted}
 
 
+def test_toxicity_of_disguised_edges_and_bare_signs(spark, words):
+    bad, docs, labels = ["idiot", "loser", "salat"], [], []
+    for i in range(900):
+        w = words(60, 1000 + i % 300)
+        random.Random(i).shuffle(w)
+        if i % 5 == 0:
+            w[i % 50] = bad[i % 3]
+        docs.append((i, " ".join(w), "en", "s", 0))
+        labels.append((i, 1, int(i % 5 == 0)))
+    clean = " ".join(words(40, 5000))
+    noisy = ["!diot", "|oser", "idio+", "(!diot)", "$@|@+", "i  d  i \t o  t", "'idiot!'"]
+    docs += [(9000 + k, f"{clean} {x} {clean}", None, None, 0) for k, x in enumerate(noisy)]
+    plain_ = ["12 3.5 2024-01-02 455", "!!! $100 +49 (1) | 7", words(1, 9)[0] + "!", "a  b  c"]
+    docs += [(9500 + k, f"{clean} {x} {clean}", None, None, 0) for k, x in enumerate(plain_)]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r.predicted for r in toxicity.digest(spark.createDataFrame(docs, DOCS), marks).collect()}
+    assert [x for k, x in enumerate(noisy) if not out[9000 + k]] == []
+    assert [x for k, x in enumerate(plain_) if out[9500 + k]] == []
+
+
 def test_toxicity_without_labels_or_rows(spark):
     df = _docs(spark, [(1, "some words"), (2, None)])
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
