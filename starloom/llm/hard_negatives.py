@@ -217,7 +217,8 @@ def _meet(anchors: DataFrame, blocks: DataFrame, n_blocks: int, scan: Callable,
                     yield pa.RecordBatch.from_pylist([dict(zip(out.names, x, strict=True)) for x in found], out)
 
     out = _arrow(schema)
-    return a.join(blocks, "block").mapInArrow(run, schema)
+    # never a broadcast: an estimate of the anchors' size would not know how often they are repeated
+    return a.join(blocks.hint("shuffle_hash"), "block").mapInArrow(run, schema)
 
 
 def hard_negatives(vectors: DataFrame, *, anchor_every: int = 50, positives: int = POSITIVES, negatives: int = NEGATIVES,

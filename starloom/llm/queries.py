@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import (
-    bbit_minhash, decontam, hard_negatives, license_rules, line_templates, nn_descent, page_templates, pivotal_mix, repeats, secrets,
-    token_files, toxicity,
+    bbit_minhash, decontam, hard_negatives, license_rules, line_templates, nn_descent, page_templates, pivotal_mix, ranked_search, repeats,
+    secrets, token_files, toxicity,
 )
 from starloom.llm.common import table
 
@@ -59,11 +59,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_nn_descent, op4_bbit_minhash, op5_page_templates, op6_decontaminate, op7_line_templates,
-    op8_license_rules, op9_pivotal_mix, op10_repeated_substrings, op11_hard_negatives, op13_token_files)}
-ORACLE: dict[str, str] = {"op7_line_templates": line_templates.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE}
+    op8_license_rules, op9_pivotal_mix, op10_repeated_substrings, op11_hard_negatives, op12_ranked_search, op13_token_files)}
+ORACLE: dict[str, str] = {
+    "op7_line_templates": line_templates.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE, "op12_ranked_search": ranked_search.ORACLE}
