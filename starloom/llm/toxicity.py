@@ -34,6 +34,7 @@ import heapq
 import re
 import string
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -175,6 +176,11 @@ class Decoder:
         return " ".join("".join(reversed(out)).split())
 
 
+#: Forms that a reader remembers, and counts that a task holds before it passes them on.
+REMEMBERED = 200_000
+FLUSH = 100_000
+
+
 class Reader(dict):
     """Words of restored text per form, or a value of them, computed once per
     form; emptied when it has grown large."""
@@ -184,7 +190,7 @@ class Reader(dict):
         self.decoder, self.value = Decoder(logp), value
 
     def __missing__(self, form: str):
-        if len(self) > 300_000:
+        if len(self) > REMEMBERED:
             self.clear()
         word = form.strip(_EDGE)
         if word.isalpha() and not _RUN.search(word):
@@ -200,6 +206,18 @@ class Reader(dict):
         return out
 
 
+_READER: dict[str, Reader] = {}
+
+
+def _reader(name: str, make) -> Reader:
+    """The reader of that name, one for all tasks of a Python worker; a new
+    name takes the place of the last, so that workers hold one at most."""
+    if name not in _READER:
+        _READER.clear()
+        _READER[name] = make()
+    return _READER[name]
+
+
 def forms(text: str | None) -> set[str]:
     """Distinct forms of a whole text: its words, and runs of single letters."""
     if not text:
@@ -263,10 +281,10 @@ def _copy_keys(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.assign(**{f"k{i}": np.array([k[i] for k in keys], np.int64) for i in range(3)})
 
 
-def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None) -> Iterator[pd.DataFrame]:
+def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None, name: str) -> Iterator[pd.DataFrame]:
     """Documents of each fold that a part is found in, summed over a task's
     rows."""
-    reader, total = Reader(logp.value), Counter()
+    reader, total = _reader(name, lambda: Reader(logp.value)), Counter()
 
     def frame() -> pd.DataFrame:
         return pd.DataFrame([(p, f, n) for (p, f), n in total.items()], columns=["part", "fold", "n"])
@@ -275,7 +293,7 @@ def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None) -> Itera
         for text, fold in zip(pdf["text"], pdf["fold"]):
             seen = {p for f in forms(text) for w in reader[f] for p in parts(w)}
             total.update((p, fold) for p in (seen if known is None else seen & known))
-            if len(total) > 1_000_000:
+            if len(total) > FLUSH:
                 yield frame()
                 total = Counter()
     if total:
@@ -294,7 +312,8 @@ def _weights(ones: pd.DataFrame, zeros: pd.DataFrame, n1: int, n0: int, least: i
         if part[0] == "=":
             for p in parts(part[1:])[1:]:
                 word[p] = max(word.get(p, 0), n)
-    both = both[[p[0] == "=" or n > WIDER * word.get(p, 0) for p, n in both["a"].items()]] + 0.5
+    wide = np.array([p[0] == "=" or n > WIDER * word.get(p, 0) for p, n in both["a"].items()], bool)
+    both = both[wide] + 0.5
     w = np.log(both["a"] / (n1 + 1)) - np.log(both["b"] / (n0 + 1)) - np.sqrt(1 / both["a"] + 1 / both["b"])
     return w[w > 1].nlargest(MAX_WEIGHTS).astype(float).to_dict()
 
@@ -327,6 +346,7 @@ class Model:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS):
         sc = docs.sparkSession.sparkContext
+        self.name = name = uuid.uuid4().hex
         self.logp = logp = sc.broadcast(language_model(docs))
         rows = _training(docs, labels, train_rows)
         n = {(bool(r["fold"]), bool(r["toxic"])): r["n"] for r in rows.groupBy("fold", (F.col("toxic") > 0).alias("toxic"))
@@ -338,14 +358,14 @@ class Model:
         self.curve = np.array([np.log(max(rate, 1e-9) / max(1 - rate, 1e-9)), 0.0, 0.0])
         if not all(a and b for a, b in folds.values()):
             return
-        ones = rows.filter("toxic > 0").select("text", "fold").mapInPandas(lambda it: _part_counts(it, logp, None), out) \
+        ones = rows.filter("toxic > 0").select("text", "fold").mapInPandas(lambda it: _part_counts(it, logp, None, name), out) \
             .groupBy("part", "fold").agg(F.sum("n").alias("n"))
         often = ones.groupBy("part").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS) \
             .orderBy(F.desc("n"), "part").limit(4 * MAX_WEIGHTS).select("part")
         ones = ones.join(F.broadcast(often), "part").toPandas()
         known = sc.broadcast(set(ones["part"]))
         zeros = rows.filter("toxic <= 0").select("text", "fold") \
-            .mapInPandas(lambda it: _part_counts(it, logp, known.value), out) \
+            .mapInPandas(lambda it: _part_counts(it, logp, known.value, name), out) \
             .groupBy("part", "fold").agg(F.sum("n").alias("n")).toPandas()
         # the curve sees evidence by weights that its row had no part in
         apart = sc.broadcast({f: _weights(ones[ones["fold"] == f], zeros[zeros["fold"] == f], *folds[f], MIN_DOCS // 2 + 1)
@@ -355,11 +375,11 @@ class Model:
         self.weights = sc.broadcast(_weights(ones, zeros, n1, n0, MIN_DOCS))
 
     def score(self, text: Column) -> Column:
-        logp, weights, curve = self.logp, self.weights, self.curve
+        logp, weights, curve, name = self.logp, self.weights, self.curve, f"{self.name} score"
 
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            reader = Reader(logp.value, Evidence(weights.value))
+            reader = _reader(name, lambda: Reader(logp.value, Evidence(weights.value)))
             for texts in batches:
                 x = np.array([(1.0, *evidence(t, reader)) for t in texts]).reshape(-1, 3)
                 yield pd.Series(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))
