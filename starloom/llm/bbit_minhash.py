@@ -21,8 +21,9 @@ components.  So every candidate pair either is tested or joins two documents
 already connected; none is dropped.
 
 NULL, empty and blank texts have an empty set and link with nothing.  Rows
-that share an id are one document in the graph; rows with a NULL id have no
-component and are kept.  Candidate search misses a link of exactly the
+that share an id are one document in the graph: their sets are linked with
+each other, and each row is returned with that component.  Rows with a NULL id
+have no component and are kept.  Candidate search misses a link of exactly the
 least similarity with a probability below 1e-4 per pair.
 """
 
@@ -115,20 +116,24 @@ def _sketch(rows: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
             s = shingles(text, words)
             if len(s):
                 m = minima(s)
-                same = xxhash.xxh128_intdigest(s.tobytes())
-                out.append((i, len(s), same >> 64, same & (1 << 64) - 1, band_keys(m).view(np.int64), *packed(m).view(np.int64)))
+                out.append((i, len(s), *_same(s), band_keys(m).view(np.int64), *packed(m).view(np.int64)))
             else:
                 out.append((i, 0, 0, 0, np.empty(0, np.int64), *[0] * WORDS_PACKED))
         if out:
-            out = pd.DataFrame(out, columns=["id", "n", "h1", "h2", "bands", *SIGNATURE])
-            for c in ("h1", "h2"):
-                out[c] = out[c].astype(np.uint64).to_numpy().view(np.int64)
-            yield out
+            yield pd.DataFrame(out, columns=["id", "n", "h1", "h2", "bands", *SIGNATURE])
+
+
+def _same(s: np.ndarray) -> tuple[int, int]:
+    """128 bits that equal sets share, as two longs."""
+    h = xxhash.xxh128_digest(s.tobytes())
+    return int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True)
 
 
 def _sets(rows: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     for pdf in rows:
-        yield pd.DataFrame({"node": pdf["id"], "set": [shingles(t, words).view(np.int64) for t in pdf["text"]]})
+        sets = [shingles(t, words) for t in pdf["text"]]
+        same = np.array([_same(s) for s in sets], np.int64).reshape(-1, 2)
+        yield pd.DataFrame({"h1": same[:, 0], "h2": same[:, 1], "set": [s.view(np.int64) for s in sets]})
 
 
 def estimate(a: list[Column], b: list[Column]) -> Column:
@@ -255,23 +260,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sketch = staged(rows.mapInPandas(
         lambda it: _sketch(it, words), f"id {id_type}, n long, h1 long, h2 long, bands array<long>, {longs}"), "sketch")
     filled = sketch.filter("n > 0 and id is not null")
-    # equal sets: one node, named by its smallest id
-    groups = filled.groupBy("h1", "h2").agg(F.min("id").alias("node"))
-    member = staged(filled.select("id", "h1", "h2").join(groups, ["h1", "h2"]).select("id", "node").distinct(), "members")
-    nodes = staged(filled.join(groups, ["h1", "h2"]).filter(F.col("id") == F.col("node"))
-                   .drop("id", "h1", "h2").dropDuplicates(["node"]), "nodes")
+    # equal sets: one node, numbered as it is written
+    nodes = staged(filled.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.any_value(F.struct("n", "bands", *SIGNATURE)).alias("x"))
+                   .select(F.monotonically_increasing_id().alias("node"), "first", "h1", "h2", "x.*"), "nodes")
+    member = staged(filled.select("id", "h1", "h2").distinct().join(nodes.select("h1", "h2", "node"), ["h1", "h2"]), "members")
+    # rows that share an id are one document: their nodes are linked
+    shared = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top")
+    alike = member.join(shared, "id").filter("node <> a").select("a", F.col("node").alias("b"))
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     hubs = staged(banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"),
                                             F.count(F.lit(1)).alias("members"))
                   .filter("hub < top").drop("top"), "hubs")
     maybe = key_filter(hubs, "key")
     buckets = staged(banded.filter(maybe(F.col("key"))).join(hubs, "key"), "buckets")
-    wanted = key_filter(buckets, "node")
-    # full sets of documents in some bucket; a few more do no harm
+    asked = staged(buckets.select("node").distinct().join(nodes.select("node", "first", "h1", "h2"), "node"), "asked")
+    wanted = key_filter(asked, "first")
+    # full sets of documents in some bucket, one text for each
     reps = rows.filter(F.col("id").isNotNull() & F.col("text").isNotNull()).filter(wanted(F.col("id")))
-    sets = staged(reps.mapInPandas(lambda it: _sets(it, words), f"node {id_type}, set array<long>")
-                  .join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    sig = nodes.drop("bands")
+    sets = staged(reps.mapInPandas(lambda it: _sets(it, words), "h1 long, h2 long, set array<long>")
+                  .join(asked.select("node", "h1", "h2"), ["h1", "h2"]).select("node", "set").dropDuplicates(["node"]), "sets")
+    sig = nodes.select("node", "n", *SIGNATURE)
 
     def likely(pairs: DataFrame) -> DataFrame:
         a = sig.select(F.col("node").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"a{c}") for c in SIGNATURE])
@@ -282,13 +290,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     tested = staged(likely(buckets.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
                            .distinct()), "tested")
-    links = staged(_confirm(tested, sets, percent), "links")
+    links = staged(_confirm(tested, sets, percent).unionByName(alike), "links")
     # buckets whose members are in several components yet; one of many members is dealt to parts, and every pair
     # of parts is a block (in a part's own block all are compared)
     label = staged(components(links), "labels")
     at = buckets.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo < hi").select("key")
+    mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("band").alias("band"),
+                                  F.count(F.lit(1)).alias("members"), *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"x{i}") for i in (0, 1)]) \
+        .filter("lo < hi")
+    # near copies meet in many buckets of the same members; a pair belongs to the first band it shares, so that one stands for all
+    mixed = mixed.groupBy("members", "x0", "x1").agg(F.min(F.struct("band", "key")).alias("first")).select("first.key")
     parts = F.ceil(F.col("members") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     dealt = staged(at.join(mixed, "key").withColumn("parts", parts).withColumn("own", own)
@@ -302,12 +313,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         return rows.repartition("block").sortWithinPartitions("block") \
             .mapInPandas(lambda it: _blocks(it, of, least, percent), schema)
 
-    asked = staged(in_blocks(dealt.join(nodes, "node"), _members, f"block long, node {id_type}"), "likely")
-    more = in_blocks(dealt.join(asked, ["block", "node"]).join(nodes, "node").join(sets, "node"), _links,
-                     f"a {id_type}, b {id_type}")
-    label = staged(components(links.unionByName(staged(more, "links"))), "labels")
-    out = sketch.select("id", F.col("n").alias("n_shingles")).join(member, "id", "left").join(label, "node", "left")
-    component = F.coalesce("component", "node", "id")
+    compared = nodes.drop("first", "h1", "h2")
+    likely_ones = staged(in_blocks(dealt.join(compared, "node"), _members, "block long, node long"), "likely")
+    more = in_blocks(dealt.join(likely_ones, ["block", "node"]).join(compared, "node").join(sets, "node"), _links, "a long, b long")
+    label = components(links.unionByName(staged(more, "links")))
+    # a component is named by its smallest id
+    named = staged(label.join(nodes.select("node", "first"), "node"), "labels")
+    names = named.groupBy("component").agg(F.min("first").alias("name"))
+    of = nodes.select("node", "first").join(named.join(names, "component").select("node", "name"), "node", "left")
+    of_id = member.join(of, "node").select("id", F.coalesce("name", "first").alias("name")).distinct()
+    out = sketch.select("id", F.col("n").alias("n_shingles")).join(of_id, "id", "left")
+    component = F.coalesce("name", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
