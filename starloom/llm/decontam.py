@@ -14,12 +14,14 @@ by one; other columns pass unchanged.
 
 The automaton is broadcast, so its size is bounded: items are cut into
 pieces (which overlap, so that no window is lost) and dealt to shards of
-about ``SHARD_WORDS`` words, each with an automaton and a pass of its own.
+about ``SHARD_WORDS`` words, each with an automaton and a pass of its own; the
+driver fetches a shard when its pass begins and frees it when the pass ends.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import Broadcast
@@ -178,9 +180,10 @@ def _matcher(shared: Broadcast, window: int):
 
 
 def shards(benchmark: DataFrame, window: int, limit: int = SHARD_WORDS,
-           id_col: str = "item_id", text_col: str = "text") -> list[list[tuple[str, str]]]:
-    """Items as lists of (id, words joined by blanks), each list of about
-    ``limit`` words at most, fetched shard by shard from a staged table."""
+           id_col: str = "item_id", text_col: str = "text") -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """Number of shards, and the shards one by one: items as lists of (id,
+    words joined by blanks), each of about ``limit`` words at most, fetched
+    from a staged table as they are asked for."""
     words = F.filter(F.split(ascii_lower(F.col(text_col)), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
     # pieces start every `stride` words and are `window - 1` words longer, so each window is inside one
     stride = max(window, limit // 4)
@@ -191,9 +194,9 @@ def shards(benchmark: DataFrame, window: int, limit: int = SHARD_WORDS,
         .select("id", F.array_join(F.expr(f"slice(w, at + 1, {stride + window - 1})"), " ").alias("t"),
                 F.expr(f"least({stride + window - 1}, size(w) - at)").alias("n")).distinct()
     pieces = staged(pieces, "items")
-    n = -(-int(pieces.agg(F.sum("n")).first()[0] or 0) // limit)
-    dealt = F.pmod(F.xxhash64("id", "t"), F.lit(max(1, n)))
-    return [[(r[0], r[1]) for r in pieces.filter(dealt == k).select("id", "t").collect()] for k in range(n)]
+    n = max(1, -(-int(pieces.agg(F.sum("n")).first()[0] or 0) // limit))
+    dealt = F.pmod(F.xxhash64("id", "t"), F.lit(n))
+    return n, ([(r[0], r[1]) for r in pieces.filter(dealt == k).select("id", "t").collect()] for k in range(n))
 
 
 def _hit_words(spans: Column) -> Column:
@@ -209,16 +212,17 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """``docs`` with a struct: n_words, n_hit, spans (words, end exclusive)
     and items (ids as sorted strings).  ``out_col`` replaces a column of that
     name."""
-    lists = shards(benchmark, window, shard_words)
+    n, lists = shards(benchmark, window, shard_words)
     sc, out = docs.sparkSession.sparkContext, docs
     cols = []
-    for k, items in enumerate(lists or [[]]):
+    for k, items in enumerate(lists):
         cols.append(fresh(out, f"_match{k}"))
         # the second member tells broadcasts of reused workers apart
         shared = sc.broadcast((f"{id(docs)}-{k}-{hash(tuple(items))}", items))
         out = out.withColumn(cols[-1], _matcher(shared, window)(F.col("text").cast("string")))
-        if k + 1 < len(lists):
-            out = staged(out, "match")  # one automaton in memory at a time
+        if k + 1 < n:
+            out = staged(out, "match")  # one shard in memory at a time
+            shared.destroy()
     spans = F.concat(*[F.col(f"`{c}`.spans") for c in cols])
     items = F.array_sort(F.array_distinct(F.concat(*[F.col(f"`{c}`.items") for c in cols])))
     return out.withColumn(out_col, F.struct(
