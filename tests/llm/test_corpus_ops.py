@@ -79,6 +79,23 @@ def test_near_duplicates_odd_rows(spark):
     assert bbit_minhash.digest(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark, words):
+    a, b = " ".join(words(90, 61)), " ".join(words(90, 62))
+    near = lambda t: t + " tail"
+    cases = {  # rows -> component of each id
+        ((1, a), (1, b), (2, near(a)), (3, near(b))): {1: 1, 2: 1, 3: 1},
+        ((1, a), (2, b), (3, a), (3, b)): {1: 1, 2: 1, 3: 1},
+        ((4, a), (4, a), (4, None), (2, near(a))): {4: 2, 2: 2},
+        ((7, None), (7, ""), (8, a)): {7: 7, 8: 8},
+    }
+    for rows, expect in cases.items():
+        out = bbit_minhash.near_duplicates(_docs(spark, rows)).collect()
+        assert sorted((r.doc_id, r.component_id) for r in out) == sorted((i, expect[i]) for i, _ in rows)
+        assert all(r.kept == (r.doc_id == r.component_id) for r in out)
+        kept = bbit_minhash.drop_near_duplicates(_docs(spark, rows)).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(i for i, _ in rows if expect[i] == i)
+
+
 def test_estimate_is_corrected_for_chance():
     r = np.random.default_rng(5)
     a = r.integers(0, 1 << 63, 4000, np.uint64)
@@ -126,6 +143,31 @@ def test_vectors_against_all_pairs(spark, monkeypatch, block):
     assert all(r.kept == (r.vec_id == r.component_id or r.vec_id is None) for r in got)
 
 
+def test_vectors_of_rows_that_share_an_id(spark):
+    x, y = [1.0, 0.0, 0.1], [0.0, 1.0, 0.1]
+    rows = [(1, x), (2, y), (3, x), (3, y), (4, [0.0, 0.0, -1.0]), (4, None), (None, x)]
+    out = nn_descent.digest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in out) == [
+        ("1", 1, "1", True), ("2", 1, "1", False), ("3", 1, "1", False), ("3", 1, "1", False), ("4", 0, "4", True), ("4", 0, "4", True),
+        ("None", 0, "None", True)]
+
+
+def test_vectors_audit_weighs_vectors_not_links(spark):
+    r = np.random.default_rng(8)
+    hot = r.normal(size=8)
+    rows = [(i, (hot + r.normal(scale=0.01, size=8)).tolist()) for i in range(300)]
+    for k in range(40):  # pairs
+        c = r.normal(size=8)
+        rows += [(1000 + 2 * k + j, (c + r.normal(scale=0.01, size=8)).tolist()) for j in (0, 1)]
+    vectors = spark.createDataFrame(rows, "node long, v array<double>")
+    nodes = vectors.withColumnRenamed("node", "id").mapInArrow(nn_descent._clean, "id long, dim int, unit binary").withColumnRenamed("id", "node")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(299)] + [(i + 1, i) for i in range(299)]
+                                  + [(0, i) for i in range(2, 20)], "a long, b long")
+    pairs = spark.createDataFrame([(1000 + 2 * k + j, 1000 + 2 * k + 1 - j) for k in range(40) for j in (0, 1)], "a long, b long")
+    assert nn_descent._audit(chain.unionByName(pairs), nodes, 0.9) == 1.0  # a full list: the hot component is counted in blocks
+    assert nn_descent._audit(chain, nodes, 0.9) < 0.95  # the pairs are missed, however many links the hot one has
+
+
 def test_no_vectors(spark):
     assert nn_descent.digest(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
@@ -370,6 +412,13 @@ def test_toxicity_of_disguised_edges_and_bare_signs(spark, words):
     assert [x for k, x in enumerate(plain_) if out[9500 + k]] == []
 
 
+def test_toxicity_with_few_labels(spark, words):
+    docs = [(i, " ".join(words(30, 3000 + i)), "en", "s", 0) for i in range(60)]
+    marks = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    out = toxicity.digest(spark.createDataFrame(docs, DOCS), marks).collect()
+    assert len(out) == 60 and all(0 <= r.score < 0.7 for r in out)
+
+
 def test_toxicity_without_labels_or_rows(spark):
     df = _docs(spark, [(1, "some words"), (2, None)])
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
