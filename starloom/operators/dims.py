@@ -91,6 +91,15 @@ def year_dimension(date_dim: DataFrame) -> DataFrame:
     return unknown.unionByName(years)
 
 
+def unknown_location_row() -> dict:
+    return {"location_key": -1, "continent": UNKNOWN, "country_region": UNKNOWN, "state": UNKNOWN, "city": UNKNOWN}
+
+
+def unknown_customer_row() -> dict:
+    return {"customer_key": -1, "customer_number": None, "customer_code": None, "name": UNKNOWN,
+            "education": UNKNOWN, "occupation": UNKNOWN}
+
+
 def location_dimension(silver: DataFrame) -> DataFrame:
     """C4: distinct (continent, country, city, state), keys by that order."""
     distinct = silver.select("CONTINENT", "COUNTRY_REGION", "CITY", "STATE").distinct()
@@ -103,9 +112,7 @@ def location_dimension(silver: DataFrame) -> DataFrame:
         F.col("STATE").alias("state"),
         F.col("CITY").alias("city"),
     )
-    return with_unknown_member(dim, {"location_key": -1, "continent": UNKNOWN,
-                                     "country_region": UNKNOWN, "state": UNKNOWN,
-                                     "city": UNKNOWN}, "location_key")
+    return with_unknown_member(dim, unknown_location_row(), "location_key")
 
 
 def customer_dimension(silver: DataFrame, type1: bool = False) -> DataFrame:
@@ -133,10 +140,7 @@ def customer_dimension(silver: DataFrame, type1: bool = False) -> DataFrame:
         F.col("EDUCATION").alias("education"),
         F.col("OCCUPATION").alias("occupation"),
     )
-    return with_unknown_member(dim, {"customer_key": -1, "customer_number": None,
-                                     "customer_code": None, "name": UNKNOWN,
-                                     "education": UNKNOWN, "occupation": UNKNOWN},
-                               "customer_key")
+    return with_unknown_member(dim, unknown_customer_row(), "customer_key")
 
 
 def product_versions(silver: DataFrame, keep_null: bool = False) -> DataFrame:

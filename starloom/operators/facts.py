@@ -21,10 +21,11 @@ SALES_COLUMNS = ["PRODUCTKEY", "CUSTOMER_CODE", "CONTINENT", "COUNTRY_REGION", "
 FORECAST_KEYS = ["country_region", "brand", "year"]
 
 
-def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFrame,
-               location_dim: DataFrame, date_dim: DataFrame, date_grain: str = "exact",
-               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """One fact row per silver row with four key lookups.
+def look_up_sales(sales: DataFrame, product_dim: DataFrame, customer_dim: DataFrame,
+                  location_dim: DataFrame, date_dim: DataFrame, date_grain: str = "exact",
+                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``sales`` (``SALES_COLUMNS`` and any others) with the four
+    keys and the measures of the fact, not numbered yet.
 
     - product: version valid on the order date (J4), else -1;
     - customer: by customer code (J1; a code with several tuples fans out,
@@ -33,10 +34,8 @@ def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFram
     - date: exact equality of the day with the order timestamp (J3; an
       order with a time of day misses), or ``date_grain='day'`` for the day.
     Missing keys become -1 (P5); amount = quantity * price (P4, NULL-safe).
-    Transaction keys are dense and in no particular order, as generated keys
-    are: the joined rows are written once, where they lie, and numbered.
     """
-    s = scd2_lookup(silver.select(*SALES_COLUMNS), product_dim)
+    s = scd2_lookup(sales, product_dim)
 
     c = broadcast_if_bounded(
         customer_dim.filter(F.col("customer_code").isNotNull())
@@ -58,46 +57,66 @@ def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFram
     rhs = F.col("_d_date") if date_grain == "day" else F.col("_d_date").cast("timestamp_ntz")
     s = s.join(d, lhs == rhs, "left")
 
-    unkeyed = s.select(
+    return s.select(
+        *sales.columns,
         F.col("product_key").cast("long").alias("product_key"),
         F.coalesce(F.col("_c_key"), F.lit(-1)).cast("long").alias("customer_key"),
         F.coalesce(F.col("_l_key"), F.lit(-1)).cast("long").alias("location_key"),
         F.coalesce(F.col("_d_key"), F.lit(-1)).cast("int").alias("date_key"),
-        F.col("QUANTITY").alias("quantity"),
-        F.col("NET_PRICE").cast("double").alias("net_price"),
         # in double: exact for whole amounts below 2^53, and a wild value
         # cannot overflow a long and fail the job under ANSI mode
         (F.col("QUANTITY").cast("double") * F.col("NET_PRICE").cast("double"))
         .alias("total_amount"),
     )
+
+
+def sales_fact(silver: DataFrame, product_dim: DataFrame, customer_dim: DataFrame,
+               location_dim: DataFrame, date_dim: DataFrame, date_grain: str = "exact",
+               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """One fact row per silver row (see ``look_up_sales``).  Transaction
+    keys are dense and in no particular order, as generated keys are: the
+    joined rows are written once, where they lie, and numbered, so the same
+    data may get other keys on a cluster of another size."""
+    looked_up = look_up_sales(silver.select(*SALES_COLUMNS), product_dim, customer_dim, location_dim, date_dim,
+                              date_grain, broadcast_max_rows)
+    unkeyed = looked_up.select(
+        "product_key", "customer_key", "location_key", "date_key", F.col("QUANTITY").alias("quantity"),
+        F.col("NET_PRICE").cast("double").alias("net_price"), "total_amount")
     keyed = number_rows(unkeyed, "transaction_key")
     return keyed.select(*FACT_SALES.fieldNames())
 
 
-def actual_sales_agg(fact: DataFrame, product_dim: DataFrame, location_dim: DataFrame,
-                     date_dim: DataFrame,
-                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """C9 (J9 + A4): SUM(total_amount) by country, brand and year over the
-    star join; rows with no date (date_key -1) form the NULL-year group.
+def sales_sums(fact: DataFrame, product_dim: DataFrame, location_dim: DataFrame, date_dim: DataFrame,
+               broadcast_max_rows: int = BROADCAST_MAX_ROWS, by: tuple[str, ...] = ()) -> DataFrame:
+    """J9 + A4 as exact decimals: SUM(total_amount) by country, brand, year
+    and columns ``by`` of the fact, as ``amount``.  Sums of parts of a fact add
+    up to those of the whole.
 
     The fact is first reduced to (product_key, location_key, year) by a
     map-side partial aggregation, so the joins with the product and location
     dimensions see one row per combination instead of one per transaction.
     Surrogate keys are unique in their dimensions, so this gives the sums of
-    the join-then-group SQL; amounts are summed as decimals, so they are the
-    same in any order."""
+    the join-then-group SQL."""
     d = broadcast_if_bounded(date_dim.select("date_key", "year"), broadcast_max_rows)
     p = broadcast_if_bounded(product_dim.select("product_key", "brand"), broadcast_max_rows)
     l = broadcast_if_bounded(location_dim.select("location_key", "country_region"), broadcast_max_rows)
-    pre = (fact.select("product_key", "location_key", "date_key", "total_amount")
+    pre = (fact.select("product_key", "location_key", "date_key", "total_amount", *by)
            .join(d, "date_key", "left")
-           .groupBy("product_key", "location_key", "year")
+           .groupBy("product_key", "location_key", "year", *by)
            .agg(exact_sum("total_amount").alias("_amount")))
     joined = pre.join(p, "product_key", "left").join(l, "location_key", "left")
-    return (joined.groupBy("country_region", "brand", "year")
-            .agg(exact_sum("_amount").cast("double").alias("total_actual_sales"))
+    return joined.groupBy("country_region", "brand", "year", *by).agg(exact_sum("_amount").alias("amount"))
+
+
+def actual_sales_agg(fact: DataFrame, product_dim: DataFrame, location_dim: DataFrame,
+                     date_dim: DataFrame,
+                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """C9 (J9 + A4): SUM(total_amount) by country, brand and year over the
+    star join; rows with no date (date_key -1) form the NULL-year group.
+    Amounts are summed as decimals, so they are the same in any order."""
+    return (sales_sums(fact, product_dim, location_dim, date_dim, broadcast_max_rows)
             .select("country_region", "brand", F.col("year").cast("int").alias("year"),
-                    "total_actual_sales"))
+                    F.col("amount").cast("double").alias("total_actual_sales")))
 
 
 def forecast_vs_actual(agg: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from starloom.operators.keys import broadcast_if_bounded, literal_row
 
 
-def _amount(q: str, p: str):
+def sales_amount(q: str, p: str) -> Column:
     # in double, as the fact has it: a wild value cannot overflow a long and fail the job
     return F.col(q).cast("double") * F.col(p).cast("double")
 
@@ -38,7 +38,7 @@ def row_counts(silver: DataFrame, fact: DataFrame) -> DataFrame:
 
 def amount_totals(silver: DataFrame, fact: DataFrame) -> DataFrame:
     """V2: SUM(QUANTITY * NET_PRICE) in silver vs SUM(total_amount) in the fact."""
-    s = silver.agg(exact_sum(_amount("QUANTITY", "NET_PRICE")).cast("double").alias("silver_total"))
+    s = silver.agg(exact_sum(sales_amount("QUANTITY", "NET_PRICE")).cast("double").alias("silver_total"))
     f = fact.agg(exact_sum("total_amount").cast("double").alias("fact_total"))
     return _side_by_side(s, f)
 
@@ -163,7 +163,7 @@ def reconcile(silver: DataFrame, fact: DataFrame, agg: DataFrame) -> DataFrame:
                 (F.lit(None) if unknown is None else unknown).cast(whole).alias(f"{table}_unknown")]
 
     n = F.count(F.lit(1))
-    parts = [silver.agg(*of("silver", n, exact_sum(_amount("QUANTITY", "NET_PRICE")))),
+    parts = [silver.agg(*of("silver", n, exact_sum(sales_amount("QUANTITY", "NET_PRICE")))),
              fact.agg(*of("fact", n, exact_sum("total_amount"), F.count(F.when(F.col("date_key") == -1, 1)))),
              agg.agg(*of("agg", n, exact_sum("total_actual_sales")))]
     # single rows side by side: each fills its own columns of a union

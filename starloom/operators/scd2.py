@@ -53,10 +53,11 @@ def latest_version_per_product(incoming: DataFrame) -> DataFrame:
     """Q14 + Q16: reduce a batch to one row per product number: MAX(price)
     per attribute set, then the set seen on the latest order (ties: the
     greatest set)."""
-    return _latest_of(product_versions(incoming))
+    return latest_of(product_versions(incoming))
 
 
-def _latest_of(versions: DataFrame) -> DataFrame:
+def latest_of(versions: DataFrame) -> DataFrame:
+    """One row per product of its ``product_versions`` (Q16)."""
     pick = F.struct(*VALUE_COLS)
     rank = F.struct("last_order_date", *VALUE_COLS)
     return (versions.groupBy("product_number")
@@ -76,7 +77,7 @@ def _as_date_col(d):
 
 def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_day, *,
                         key: str, values: list[str], surrogate: str,
-                        unknown_key: int = -1) -> DataFrame:
+                        unknown_key: int = -1, next_key: int | None = None) -> DataFrame:
     """C7 core for any SCD2 dimension laid out as (surrogate, key, *values,
     change_begin_date, change_end_date, is_current), given ``src`` with one
     row per business key (key, *values).  Returns the whole new snapshot.
@@ -89,8 +90,8 @@ def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_da
     - a key new to the dimension starts on ``first_day``;
     - keys absent from ``src`` stay as they are (nothing is deleted);
     - NULL keys and the unknown member are left untouched;
-    - new surrogates continue after the highest existing one, in
-      (key, *values) order.
+    - new surrogates continue after the highest existing one (or begin at
+      ``next_key``), in (key, *values) order.
     Merging the same source twice changes nothing.
     """
     eff = _as_date_col(effective_date)
@@ -123,8 +124,9 @@ def scd2_merge_versions(dim: DataFrame, src: DataFrame, effective_date, first_da
     new_rows = joined.filter(F.col("_has_src") & ~F.col("_any_eq")).select(
         key, *[F.col(f"s_{c}").alias(c) for c in values], "_has_cur", "_from",
     ).dropDuplicates([key])
-    max_key = dim.agg(F.max(surrogate).alias("m")).first()["m"]
-    keyed = assign_keys(new_rows, [key, *values], surrogate, start=max(max_key or 0, 0) + 1)
+    if next_key is None:
+        next_key = max(dim.agg(F.max(surrogate).alias("m")).first()["m"] or 0, 0) + 1
+    keyed = assign_keys(new_rows, [key, *values], surrogate, start=next_key)
     inserted = keyed.select(
         surrogate, key, *values,
         F.when(F.col("_has_cur"), F.col("_from")).otherwise(_as_date_col(first_day))
@@ -148,7 +150,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, effective_date=None) -> Data
     versions = spark.read.parquet(path)
     first = versions.agg(F.min(F.to_date("first_order_date")).alias("d")).first()["d"]
     return scd2_merge_versions(
-        dim, _latest_of(versions.filter(F.col("product_number").isNotNull())), effective_date,
+        dim, latest_of(versions.filter(F.col("product_number").isNotNull())), effective_date,
         first or dt.date.fromisoformat(FALLBACK_BEGIN_DATE), key="product_number", values=VALUE_COLS,
         surrogate="product_key").select(*DIM_PRODUCT.fieldNames())
 

@@ -17,7 +17,7 @@ from starloom.operators import dims, facts, scd2
 from starloom.operators.silver import clean_sales
 from starloom.session import scratch_path
 from starloom.sources.bronze import normalize_columns, stamp_ingestion
-from starloom.sources.driver_tables import raw_sales_records, table
+from starloom.sources.driver_tables import raw_sales_records, split_by_order_date, table
 
 # Fixed scenario parameters.
 DUPLICATE_EVERY = 20           # order keys whose lines arrive twice
@@ -27,6 +27,8 @@ FIXTURE_DATE_END = "2000-12-31"     # so both ends fall to date_key -1
 BATCH_CUT = "1998-07-01"       # second load = orders from this day on
 FORECAST_BEFORE_YEAR = 2001    # forecast exists for earlier years only
 FORECAST_FACTOR = 1.1          # forecast = factor * actual
+LATE_EVERY, LATE_REST = 10, 3  # customers with key % 10 = 3 are known from the second load on
+RELOAD_YEAR = 1997             # order year that is reloaded after all loads
 
 _CACHE: dict[tuple, "Context"] = {}
 
@@ -128,6 +130,37 @@ class Context:
     def product_dim_batch1(self) -> DataFrame:
         return dims.product_dimension_initial(self.silver_batch1)
 
+    # -- load by load ----------------------------------------------------------
+    def _batches(self) -> tuple[DataFrame, DataFrame]:
+        return split_by_order_date(self.raw_source, BATCH_CUT)
+
+    def _incremental(self, name: str):
+        from starloom.plans.incremental import IncrementalWarehouse
+        return IncrementalWarehouse(self.spark, scratch_path(self.spark, name), FIXTURE_DATE_START, FIXTURE_DATE_END)
+
+    @cached_property
+    def loads(self):
+        """Orders before the cut, those from the cut on, everything again
+        under a third name, and a year reloaded."""
+        w = self._incremental("loads")
+        first, second = self._batches()
+        w.load(first, "first")
+        w.load(second, "second", effective_date=BATCH_CUT)
+        w.load(self.raw_source, "resent", effective_date=self.order_day_range[1])
+        w.reload_year(RELOAD_YEAR, "reload")
+        return w
+
+    @cached_property
+    def late_loads(self):
+        """Customers and locations come from a feed of their own, in which some
+        arrive with the second load only."""
+        w = self._incremental("late-loads")
+        first, second = self._batches()
+        late = F.col("CustomerKey").cast("long") % LATE_EVERY == LATE_REST
+        w.load(first, "first", members=first.filter(~late))
+        w.load(second, "second", members=self.raw_source, effective_date=BATCH_CUT)
+        return w
+
     @cached_property
     def product_dim_merged(self) -> DataFrame:
         return scd2.scd2_merge(self.product_dim_batch1, self.silver_batch2,
