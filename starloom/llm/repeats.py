@@ -201,15 +201,23 @@ def _finish_sorted(rows: Iterator[pd.DataFrame], rim: int) -> Iterator[pd.DataFr
 
 
 def _split(ctx: DataFrame, rim: int, limit: int) -> DataFrame:
-    """Refine buckets of more than ``limit`` members; members alone go."""
+    """Refine buckets of more than ``limit`` members; members alone go.
+
+    Buckets that are small enough stay where they were written.  Which ones
+    are refined, and which members have company, is told by bitmaps of fixed
+    size, so the bytes of a member are never shuffled here.  A small bucket
+    that passes by chance is refined too, and a member alone that passes by
+    chance finds no like later on; neither changes the result."""
+    small = []
     while True:
-        sizes = ctx.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"),
-                                          F.max(F.col("hi") - F.col("lo")).alias("range"))
-        if not sizes.filter((F.col("members") > limit) & (F.col("range") > 0)).limit(1).count():
-            return ctx
-        big = sizes.filter((F.col("members") > limit) & (F.col("range") > 0)).select("bucket")
+        sizes = ctx.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.max(F.col("hi") - F.col("lo")).alias("range"))
+        big = staged(sizes.filter((F.col("members") > limit) & (F.col("range") > 0)).select("bucket"), "big")
+        if big.isEmpty():
+            break
+        is_big = key_filter(big, "bucket")(F.col("bucket")) & (F.col("lo") < F.col("hi"))
+        small.append(ctx.filter(~is_big))
         mid = F.shiftright(F.col("lo") + F.col("hi"), 1)
-        halves = ctx.join(big, "bucket").withColumn("half", F.explode(F.array(
+        halves = ctx.filter(is_big).withColumn("half", F.explode(F.array(
             F.struct(F.col("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("hi"))))) \
             .withColumn("lo", F.col("half.lo")).withColumn("hi", F.col("half.hi")).drop("half")
         # windows of a half all have the last `lo` bytes before the gram and the first rim - hi after it
@@ -220,7 +228,10 @@ def _split(ctx: DataFrame, rim: int, limit: int) -> DataFrame:
         halves = halves.withColumn("left", F.expr("if(lo = hi, X'', substring(left, greatest(length(left) - hi, 0) + 1, hi))")) \
             .withColumn("right", F.expr(f"if(lo = hi, X'', substring(right, 1, {rim} - lo))"))
         more = halves.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("bucket")
-        ctx = staged(ctx.join(big, "bucket", "left_anti").unionByName(halves.join(more, "bucket")), "rims")
+        ctx = staged(halves.filter(key_filter(more, "bucket")(F.col("bucket"))), "rims")
+    for part in small:
+        ctx = ctx.unionByName(part)
+    return ctx
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
@@ -249,13 +260,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
         "bucket long, n long, key long, pos int, left binary, right binary") \
         .withColumn("lo", F.lit(0)).withColumn("hi", F.lit(rim)).withColumn("gram", F.lit(gram))
     ctx = _split(staged(ctx, "rims"), rim, bucket)
-    # buckets of one window start have two members at least, all with the same window
-    equal = ctx.filter("lo = hi and n = 1").select("key", (F.col("pos") - F.col("lo")).alias("start"),
-                                                   (F.col("pos") - F.col("lo") + length).alias("end"))
+    # members of a bucket of one window start have the same window, if there are two or more
+    starts = ctx.filter("lo = hi").select("bucket", "n", "key", (F.col("pos") - F.col("lo")).alias("start"))
+    shared = starts.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("bucket")
+    equal = starts.filter("n = 1").join(shared, "bucket").select("key", "start", (F.col("start") + length).alias("end"))
     rims = ctx.filter("lo < hi").repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
         lambda it: _finish_sorted(it, rim), "key long, start int, end int")
     spans = settled.unionByName(equal).unionByName(rims)
-    return spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # rows that share id and text share their spans: each is kept once
+    return spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def _merge(spans) -> list[tuple[int, int]]:
