@@ -110,17 +110,20 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     dropped = fresh(docs, "dropped")
     drops = drops.withColumnRenamed("dropped", dropped) if dropped != "dropped" else drops
     # only documents that may lose lines are shuffled to meet what they lose
-    # (by a sorted merge whatever their number, so that the plan is one at every size)
-    met = flagged.filter(F.col(hit)).join(drops.hint("merge"), k, "left")
+    # (in a hash join on the drops whatever their number, so that the plan is one at every size and no text is sorted)
+    met = flagged.filter(F.col(hit)).join(drops.hint("shuffle_hash"), k, "left")
     rest = flagged.filter(~F.col(hit)).withColumn(dropped, F.lit(None).cast("array<int>"))
     out = met.select(*flagged.columns, dropped).unionByName(rest)
-    split = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(F.col(dropped), i)), "\n")
+    at = fresh(docs, "_split")
+    out, split = out.withColumn(at, F.split(text, "\n", -1)), F.col(at)
+    # a set difference of places: linear, however many lines a text has
+    places = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(dropped))
+    kept = F.array_join(F.transform(places, lambda i: F.get(split, i)), "\n")
     count = F.when(text.isNull(), F.struct(F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"))) \
         .otherwise(F.struct(F.size(split).cast("long").alias("n_lines"),
                             F.when(F.col(dropped).isNull(), 0).otherwise(F.size(dropped)).cast("long").alias("n_dropped")))
     return out.withColumn("lines", count) \
-        .withColumn(text_col, F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(kept)).drop(k, hit, dropped)
+        .withColumn(text_col, F.when(F.col(dropped).isNull(), F.col(text_col)).otherwise(kept)).drop(k, hit, dropped, at)
 
 
 def digest(docs: DataFrame) -> DataFrame:
