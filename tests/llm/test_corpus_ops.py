@@ -230,6 +230,16 @@ def test_repeats_long_texts_are_taken_in_parts(monkeypatch):
     assert all((x == y).all() for x, y in zip(whole[:2], parts[:2])) and len(whole[0]) == len(set(parts[0]))
 
 
+def test_repeats_of_one_row_are_gathered_once(spark, words):
+    text = " ".join(words(60, 12))
+    rows = [(1, text)] * 3000 + [(2, "short")]
+    docs = _docs(spark, rows).select(F.col("doc_id"), F.col("text"), F.xxhash64(F.col("doc_id").cast("string"), "text").alias("key"))
+    spans = repeats.repeated_spans(docs.select("key", "text")).collect()
+    assert len(spans) == 1 and len(spans[0].spans) < 100
+    out = repeats.digest(_docs(spark, rows)).groupBy("doc_id", "n_removed").count().collect()
+    assert sorted(map(tuple, out)) == [(1, len(text.encode()), 3000), (2, 0, 1)]
+
+
 def test_repeats_empty_table(spark):
     assert repeats.digest(_docs(spark, [(1, "a")]).limit(0)).count() == 0
 
