@@ -46,6 +46,8 @@ WORDS_PACKED = MINIMA * BITS // 64
 SIGMAS = 4
 #: Members of a bucket that are compared at once.
 BLOCK = 512
+#: Words whose hash a Python worker remembers (about 0.2 KB each).
+REMEMBERED = 100_000
 SIGNATURE = [f"s{i}" for i in range(WORDS_PACKED)]
 
 # A-Z to a-z; bytes.split() then splits on the white space of the contract.
@@ -59,7 +61,7 @@ class _WordHash(dict):
     """Hash per word, computed once; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > REMEMBERED:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

@@ -177,8 +177,8 @@ class Decoder:
 
 
 #: Forms that a reader remembers, and counts that a task holds before it passes them on.
-REMEMBERED = 200_000
-FLUSH = 100_000
+REMEMBERED = 100_000
+FLUSH = 50_000
 
 
 class Reader(dict):
