@@ -11,7 +11,9 @@ same size, so mass moves between documents of like size and a source's taken
 words stay near its target.  What a block leaves over (one document at most)
 goes up a reduction tree of blocks of blocks, ``BLOCK`` at a time; only the
 last one of a source is drawn alone.  No group holds more than a block, so a
-source with a third of all rows is no hotter than any other.
+source with a third of all rows is no hotter than any other, and neither is an
+id: documents of one id, source and size can't be told apart and are numbered
+first, so that each goes to a block of its own choice.
 
 DataFrame functions only.  Draws are hashes of ids and a seed, so reruns and
 recomputed tasks agree.
@@ -33,6 +35,8 @@ BLOCK = 64
 SIZE_STEPS = 16
 #: A probability this near to 0 or 1 is one.
 EPS = 1e-9
+#: Documents of one id, source and size that a task numbers at once.
+RUN = 1024
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 
@@ -70,6 +74,18 @@ def targets(sized: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) ->
         F.col("cap"), F.coalesce(F.col("free.share") * F.col("w"), F.col("cap"))).alias("target"))
 
 
+def numbered(counted: DataFrame) -> DataFrame:
+    """A row (id, src, size, copy) for each document of (id, src, size, n);
+    rows that many documents share are dealt to tasks in runs of ``RUN``."""
+    cols = ["id", "src", "size"]
+    runs = counted.filter(F.col("n") > RUN) \
+        .select(*cols, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long"))).alias("at")) \
+        .repartition("at", *cols)
+    many = runs.select(*cols, F.explode(F.sequence("at", F.least("n", F.col("at") + RUN) - 1)).alias("copy"))
+    few = counted.filter(F.col("n") <= RUN).select(*cols, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"))
+    return few.unionByName(many)
+
+
 def _draw(seed: int, *cols) -> Column:
     """Uniform in [0, 1), the same for the same ids."""
     return F.shiftrightunsigned(F.xxhash64(*cols, F.lit(seed)), 11).cast("double") / F.lit(2.0 ** 53)
@@ -110,21 +126,23 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: the id, source, size, source_size, target and
     copies (how often it is taken, a whole number up to ``max_repeat``)."""
     id_type = dict(docs.dtypes)[id_col]
-    sized = staged(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("src"),
-                               word_count(F.col(text_col).cast("string")).alias("size")), "mix-sizes")
-    src = staged(targets(sized, weights, max_repeat), "mix-sources")
+    counted = staged(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("src"),
+                                 word_count(F.col(text_col).cast("string")).alias("size"))
+                     .groupBy("id", "src", "size").agg(F.count(F.lit(1)).alias("n")), "mix-sizes")
+    src = staged(targets(counted.select("src", (F.col("size") * F.col("n")).alias("size")), weights, max_repeat), "mix-sources")
+    sized = numbered(counted)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate + EPS).cast("int")
     rates = src.select("src", "no", whole.alias("whole"), F.greatest(rate - whole, F.lit(0.0)).alias("p"))
     rated = sized.join(rates, sized["src"].eqNullSafe(rates["src"])) \
-        .select("id", "no", "size", "p", F.when(F.col("size") > 0,
+        .select("id", "copy", "no", "size", "p", F.when(F.col("size") > 0,
                 F.floor(F.log2(F.col("size").cast("double")) * SIZE_STEPS).cast("int")).alias("class"))
     rounded = (F.col("p") > EPS) & (F.col("size") > 0)
     # blocks of a source are numbered from its largest documents to its smallest
     classes = rated.filter(rounded).groupBy("no", "class").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("n"))
     down = Window.partitionBy("no").orderBy(F.desc("class")).rowsBetween(Window.unboundedPreceding, -1)
     classes = classes.select("no", "class", "n", F.coalesce(F.sum("n").over(down), F.lit(0)).alias("first"))
-    part = F.pmod(F.xxhash64("id", F.lit(seed)), F.col("n"))
+    part = F.pmod(F.xxhash64("id", "copy", "size", F.lit(seed)), F.col("n"))
     level = rated.filter(rounded).join(classes, ["no", "class"]) \
         .select("no", (F.col("first") + part).alias("block"), F.struct("size", "id", "p").alias("x"))
     top = classes.agg(F.max(F.col("first") + F.col("n"))).first()[0] or 0
