@@ -285,6 +285,22 @@ def test_mix(spark):
     assert pivotal_mix.digest(df.limit(0)).count() == 0
 
 
+def test_mix_of_rows_that_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(pivotal_mix, "RUN", 100)
+    rows = [(7 if i % 2 else None, "w " * (20 + i % 3), None, "abc"[i % 3], 0) for i in range(3000)] + [(i, "v " * 30, None, "d", 0) for i in range(500)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = pivotal_mix.mix_sources(df).collect()
+    assert sorted((str(x.doc_id), x.source, x["size"]) for x in out) == sorted((str(i), s, len(t) // 2) for i, t, _, s, _ in rows)
+    sizes, taken = {}, {}
+    for x in out:
+        sizes[x.source] = sizes.get(x.source, 0) + x["size"]
+        taken[x.source] = taken.get(x.source, 0) + x["size"] * x.copies
+    expect = _plain_targets(sizes)
+    assert all(abs(taken[s] - expect[s]) <= 60 + 0.02 * expect[s] for s in sizes)
+    again = pivotal_mix.mix_sources(df.repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, out))
+
+
 # -- pages -----------------------------------------------------------------------------
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{{}}</style></head><body><header class=top>Site</header>
