@@ -19,10 +19,11 @@ two members at least, and buckets of one are dropped.
    one for each half of that range, whose identifier combines the bucket's own
    with that of the bytes at later and earlier offsets which all windows of
    the half share; it is done until the buckets are small, and members alone
-   in a bucket go.  Large buckets so split over tasks instead of meeting in
-   one; small ones are finished window by window where they lie.  A bucket for
-   one window start holds equal windows, which is counted as a group and met
-   by no task, however large it is.
+   in a bucket go.  Members that agree in all bytes that windows of the half
+   reach settle each other as in step 1, and one stands for them; a bucket for
+   one window start holds equal windows only, so it is settled as a whole and
+   met by no task, however large it is.  Large buckets so split over tasks;
+   small ones are finished window by window where they lie.
 
 Buckets are identified by 64-bit hashes.  Row identity is the id together
 with a hash of the text, so repeated ids and rows are told apart or judged
@@ -200,15 +201,18 @@ def _finish_sorted(rows: Iterator[pd.DataFrame], rim: int) -> Iterator[pd.DataFr
         yield _finish(rest, rim)
 
 
-def _split(ctx: DataFrame, rim: int, limit: int) -> DataFrame:
-    """Refine buckets of more than ``limit`` members; members alone go.
+def _split(ctx: DataFrame, rim: int, length: int, limit: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Refine buckets of more than ``limit`` members: (what is left in small
+    buckets, spans that were settled on the way).
 
-    Buckets that are small enough stay where they were written.  Which ones
-    are refined, and which members have company, is told by bitmaps of fixed
-    size, so the bytes of a member are never shuffled here.  A small bucket
-    that passes by chance is refined too, and a member alone that passes by
-    chance finds no like later on; neither changes the result."""
-    small = []
+    Members of a half whose bytes agree, as far as windows of the half reach,
+    repeat each other's windows there: that settles their spans, and one of
+    them stands for all from then on.  Members alone go, and so do buckets in
+    which all agree.  Buckets that are small enough stay where they were
+    written.  Which members stay is told by bitmaps of fixed size, so their
+    bytes are never shuffled here; a member or bucket that passes by chance
+    only adds spans that are true, and changes nothing."""
+    small, settled = [], []
     while True:
         sizes = ctx.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.max(F.col("hi") - F.col("lo")).alias("range"))
         big = staged(sizes.filter((F.col("members") > limit) & (F.col("range") > 0)).select("bucket"), "big")
@@ -224,14 +228,24 @@ def _split(ctx: DataFrame, rim: int, limit: int) -> DataFrame:
         halves = halves.filter((F.length("left") >= F.col("lo")) & (F.length("right") >= rim - F.col("hi"))) \
             .withColumn("bucket", F.expr(f"xxhash64(bucket, lo, hi, substring(left, length(left) - lo + 1, lo), "
                                          f"substring(right, 1, {rim} - hi))"))
-        # its windows reach no more than the last hi bytes before the gram and the first rim - lo after it; one start is done
-        halves = halves.withColumn("left", F.expr("if(lo = hi, X'', substring(left, greatest(length(left) - hi, 0) + 1, hi))")) \
-            .withColumn("right", F.expr(f"if(lo = hi, X'', substring(right, 1, {rim} - lo))"))
-        more = halves.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("bucket")
-        ctx = staged(halves.filter(key_filter(more, "bucket")(F.col("bucket"))), "rims")
+        # its windows reach no more than the last hi bytes before the gram and the first rim - lo after it
+        halves = halves.withColumn("left", F.expr("substring(left, greatest(length(left) - hi, 0) + 1, hi)")) \
+            .withColumn("right", F.expr(f"substring(right, 1, {rim} - lo)"))
+        # windows of a member begin from `far` down to `near` bytes before the gram
+        far, near = F.least("hi", F.length("left")), F.greatest(F.col("lo"), F.lit(rim) - F.length("right"))
+        narrow = staged(halves.select("bucket", F.xxhash64("left", "right", F.length("left")).alias("kind"), "n", "key", "pos",
+                                      (F.col("pos") - far).alias("start"), (F.col("pos") - near + length).alias("end")), "halves")
+        kinds = narrow.groupBy("bucket", "kind").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("key", "pos")).alias("one"))
+        kinds = staged(kinds, "kinds")
+        settled.append(narrow.filter(f"n = 1 and end - start >= {length}")
+                       .join(kinds.filter("m > 1").select("bucket", "kind"), ["bucket", "kind"]).select("key", "start", "end"))
+        several = kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket")
+        stay = kinds.join(several, "bucket").select(F.xxhash64("bucket", "one.key", "one.pos").alias("row"))
+        stays = key_filter(stay, "row")
+        ctx = staged(halves.filter(stays(F.xxhash64("bucket", "key", "pos"))), "rims")
     for part in small:
         ctx = ctx.unionByName(part)
-    return ctx
+    return ctx, settled
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
@@ -259,14 +273,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
         lambda it: _surroundings(it, length, gram),
         "bucket long, n long, key long, pos int, left binary, right binary") \
         .withColumn("lo", F.lit(0)).withColumn("hi", F.lit(rim)).withColumn("gram", F.lit(gram))
-    ctx = _split(staged(ctx, "rims"), rim, bucket)
-    # members of a bucket of one window start have the same window, if there are two or more
-    starts = ctx.filter("lo = hi").select("bucket", "n", "key", (F.col("pos") - F.col("lo")).alias("start"))
-    shared = starts.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("bucket")
-    equal = starts.filter("n = 1").join(shared, "bucket").select("key", "start", (F.col("start") + length).alias("end"))
+    ctx, rest = _split(staged(ctx, "rims"), rim, length, bucket)
+    # what is left of a bucket of one window start differs from what settled it
     rims = ctx.filter("lo < hi").repartition("bucket").sortWithinPartitions("bucket").mapInPandas(
         lambda it: _finish_sorted(it, rim), "key long, start int, end int")
-    spans = settled.unionByName(equal).unionByName(rims)
+    spans = settled.unionByName(rims)
+    for more in rest:
+        spans = spans.unionByName(more)
     # rows that share id and text share their spans: each is kept once
     return spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
