@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import components, fresh, key_filter, staged
+from starloom.llm.common import components, fresh, key_filter, release, staged
 
 MINIMA, BITS, ROWS = 128, 4, 5
 BANDS = MINIMA // ROWS
@@ -123,6 +123,7 @@ def _sketch(rows: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
                 out.append((i, 0, 0, 0, np.empty(0, np.int64), *[0] * WORDS_PACKED))
         if out:
             yield pd.DataFrame(out, columns=["id", "n", "h1", "h2", "bands", *SIGNATURE])
+    release()
 
 
 def _same(s: np.ndarray) -> tuple[int, int]:
@@ -136,6 +137,7 @@ def _sets(rows: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
         sets = [shingles(t, words) for t in pdf["text"]]
         same = np.array([_same(s) for s in sets], np.int64).reshape(-1, 2)
         yield pd.DataFrame({"h1": same[:, 0], "h2": same[:, 1], "set": [s.view(np.int64) for s in sets]})
+    release()
 
 
 def estimate(a: list[Column], b: list[Column]) -> Column:

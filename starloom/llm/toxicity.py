@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bbit_minhash import shingles
-from starloom.llm.common import fresh, staged
+from starloom.llm.common import fresh, release, staged
 
 #: Labelled rows that weights and curve are fitted on, and words and word
 #: parts that get a weight, at most.
@@ -108,6 +108,7 @@ def _count_grams(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     np.add.at(total, idx, 1)
     seen = np.flatnonzero(total)
     yield pd.DataFrame({"gram": seen.astype(np.int32), "n": total[seen]})
+    release()
 
 
 def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -177,8 +178,8 @@ class Decoder:
 
 
 #: Forms that a reader remembers, and counts that a task holds before it passes them on.
-REMEMBERED = 100_000
-FLUSH = 50_000
+REMEMBERED = 60_000
+FLUSH = 30_000
 
 
 class Reader(dict):
@@ -279,6 +280,7 @@ def _copy_keys(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for s in (shingles(t, 3) for t in pdf["text"])]
         pdf = pdf.assign(doc_id=pdf["doc_id"].astype(str))
         yield pdf.assign(**{f"k{i}": np.array([k[i] for k in keys], np.int64) for i in range(3)})
+    release()
 
 
 def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None, name: str) -> Iterator[pd.DataFrame]:
@@ -298,6 +300,8 @@ def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None, name: st
                 total = Counter()
     if total:
         yield frame()
+    del total
+    release()
 
 
 def _weights(ones: pd.DataFrame, zeros: pd.DataFrame, n1: int, n0: int, least: int) -> dict[str, float]:
@@ -324,6 +328,7 @@ def _evidence_rows(rows: Iterator[pd.DataFrame], logp, weights) -> Iterator[pd.D
     for pdf in rows:
         x = [evidence(t, readers[f]) for t, f in zip(pdf["text"], pdf["fold"])]
         yield pd.DataFrame({"top": [a for a, _ in x], "all": [b for _, b in x], "toxic": pdf["toxic"]})
+    release()
 
 
 def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -383,6 +388,7 @@ class Model:
             for texts in batches:
                 x = np.array([(1.0, *evidence(t, reader)) for t in texts]).reshape(-1, 3)
                 yield pd.Series(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))
+            release()
 
         return scored(text.cast("string"))
 
