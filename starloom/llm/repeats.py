@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import key_filter, staged
+from starloom.llm.common import key_filter, release, staged
 
 LENGTH = 200
 GRAM = 100
@@ -124,6 +124,7 @@ def _offsets(rows: Iterator[pd.DataFrame], length: int, gram: int, full: bool) -
                 found, held = [[], [], [], []], 0
         if held:
             yield _frame(found, full)
+    release()
 
 
 def _frame(found: list, full: bool) -> pd.DataFrame:
@@ -147,6 +148,7 @@ def _surroundings(rows: Iterator[pd.DataFrame], length: int, gram: int) -> Itera
                 out = []
         if out:
             yield pd.DataFrame(out, columns=["bucket", "n", "key", "pos", "left", "right"])
+    release()
 
 
 def _side(parts: list[bytes], rim: int, backward: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -199,6 +201,7 @@ def _finish_sorted(rows: Iterator[pd.DataFrame], rim: int) -> Iterator[pd.DataFr
             yield _finish(pdf[whole], rim)
     if rest is not None and len(rest):
         yield _finish(rest, rim)
+    release()
 
 
 def _split(ctx: DataFrame, rim: int, length: int, limit: int) -> tuple[DataFrame, list[DataFrame]]:
