@@ -31,10 +31,11 @@ left out.  Without labels of both kinds every score is the rate of toxic ones
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
 import re
 import string
 import unicodedata
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -131,7 +132,7 @@ class Decoder:
     def __init__(self, logp: np.ndarray):
         self.logp = logp
 
-    def _arcs(self, form: str) -> list[list[tuple[str, float]]]:
+    def arcs(self, form: str) -> list[list[tuple[str, float]]]:
         units = []
         bare = not any(c.isalpha() for c in form)  # signs alone would always be likeliest as nothing
         for m in _HELD.finditer(form):
@@ -156,7 +157,7 @@ class Decoder:
         logp, mod = self.logp, SYMBOLS ** 3
         # context (last three symbols) -> cost and reading so far
         best: dict[int, tuple[float, tuple | None, str]] = {0: (0.0, None, "")}
-        for unit in [*self._arcs(form), [(" ", 0.0)]]:
+        for unit in [*self.arcs(form), [(" ", 0.0)]]:
             ahead: dict[int, tuple[float, tuple | None, str]] = {}
             for state, node in best.items():
                 for read, cost in unit:
@@ -179,6 +180,8 @@ class Decoder:
 
 #: Forms that a reader remembers, and counts that a task holds before it passes them on.
 REMEMBERED = 60_000
+#: Readings of a form up to which each is looked at before a search.
+READINGS = 32
 FLUSH = 30_000
 
 
@@ -190,6 +193,16 @@ class Reader(dict):
         super().__init__()
         self.decoder, self.value = Decoder(logp), value
 
+    def _decoded(self, form: str) -> list[str]:
+        """Words of the likeliest reading; none, without a search, if no
+        reading holds a word of any value."""
+        if self.value:
+            reads = [[r for r, _ in unit] for unit in self.decoder.arcs(form)]
+            if math.prod(map(len, reads)) <= READINGS \
+                    and not self.value(list({w for r in itertools.product(*reads) for w in "".join(r).split()})):
+                return []
+        return self.decoder.decode(form).split()
+
     def __missing__(self, form: str):
         if len(self) > REMEMBERED:
             self.clear()
@@ -197,28 +210,16 @@ class Reader(dict):
         if word.isalpha() and not _RUN.search(word):
             words = [word]
         elif any(c.isalpha() for c in word):
-            words = self.decoder.decode(word).split()
+            words = self._decoded(word)
         else:
             words = []
         whole = form.strip(_OUTER)  # edges may be letters or punctuation
         if (whole != word or not words) and any(c in LEET for c in whole):
-            words = list(dict.fromkeys([*words, *self.decoder.decode(whole).split()]))
+            words = list(dict.fromkeys([*words, *self._decoded(whole)]))
         out = self[form] = self.value(words) if self.value else words
         return out
 
 
-_READER: dict[str, Reader] = {}
-
-
-def _reader(name: str, make) -> Reader:
-    """The reader of that name, one for all tasks of a Python worker; a new
-    name takes the place of the last, so that workers hold one at most."""
-    if name not in _READER:
-        _READER.clear()
-        _READER[name] = make()
-    return _READER[name]
-
-
 def forms(text: str | None) -> set[str]:
     """Distinct forms of a whole text: its words, and runs of single letters."""
     if not text:
@@ -283,10 +284,10 @@ def _copy_keys(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     release()
 
 
-def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None, name: str) -> Iterator[pd.DataFrame]:
+def _part_counts(rows: Iterator[pd.DataFrame], logp, known: set | None) -> Iterator[pd.DataFrame]:
     """Documents of each fold that a part is found in, summed over a task's
     rows."""
-    reader, total = _reader(name, lambda: Reader(logp.value)), Counter()
+    reader, total = Reader(logp.value), Counter()
 
     def frame() -> pd.DataFrame:
         return pd.DataFrame([(p, f, n) for (p, f), n in total.items()], columns=["part", "fold", "n"])
@@ -351,7 +352,6 @@ class Model:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS):
         sc = docs.sparkSession.sparkContext
-        self.name = name = uuid.uuid4().hex
         self.logp = logp = sc.broadcast(language_model(docs))
         rows = _training(docs, labels, train_rows)
         n = {(bool(r["fold"]), bool(r["toxic"])): r["n"] for r in rows.groupBy("fold", (F.col("toxic") > 0).alias("toxic"))
@@ -363,14 +363,14 @@ class Model:
         self.curve = np.array([np.log(max(rate, 1e-9) / max(1 - rate, 1e-9)), 0.0, 0.0])
         if not all(a and b for a, b in folds.values()):
             return
-        ones = rows.filter("toxic > 0").select("text", "fold").mapInPandas(lambda it: _part_counts(it, logp, None, name), out) \
+        ones = rows.filter("toxic > 0").select("text", "fold").mapInPandas(lambda it: _part_counts(it, logp, None), out) \
             .groupBy("part", "fold").agg(F.sum("n").alias("n"))
         often = ones.groupBy("part").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS) \
             .orderBy(F.desc("n"), "part").limit(4 * MAX_WEIGHTS).select("part")
         ones = ones.join(F.broadcast(often), "part").toPandas()
         known = sc.broadcast(set(ones["part"]))
         zeros = rows.filter("toxic <= 0").select("text", "fold") \
-            .mapInPandas(lambda it: _part_counts(it, logp, known.value, name), out) \
+            .mapInPandas(lambda it: _part_counts(it, logp, known.value), out) \
             .groupBy("part", "fold").agg(F.sum("n").alias("n")).toPandas()
         # the curve sees evidence by weights that its row had no part in
         apart = sc.broadcast({f: _weights(ones[ones["fold"] == f], zeros[zeros["fold"] == f], *folds[f], MIN_DOCS // 2 + 1)
@@ -380,14 +380,15 @@ class Model:
         self.weights = sc.broadcast(_weights(ones, zeros, n1, n0, MIN_DOCS))
 
     def score(self, text: Column) -> Column:
-        logp, weights, curve, name = self.logp, self.weights, self.curve, f"{self.name} score"
+        logp, weights, curve = self.logp, self.weights, self.curve
 
         @F.pandas_udf("double")
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            reader = _reader(name, lambda: Reader(logp.value, Evidence(weights.value)))
+            reader = Reader(logp.value, Evidence(weights.value))
             for texts in batches:
                 x = np.array([(1.0, *evidence(t, reader)) for t in texts]).reshape(-1, 3)
                 yield pd.Series(1 / (1 + np.exp(-np.clip(x @ curve, -30, 30))))
+            reader.clear()
             release()
 
         return scored(text.cast("string"))
