@@ -71,6 +71,7 @@ _OUTER = "".join(c for c in _EDGE if c not in LEET)
 _RUN = re.compile(r"(.)\1\1")
 _SPACED = re.compile(r"\s(\S(?:\s+\S){2,})(?=\s)")
 _HELD = re.compile(r"(.)\1*", re.S)
+_TWICE = re.compile(r"(.)\1", re.S)
 
 
 def _fold(c: str) -> int:
@@ -231,7 +232,10 @@ def forms(text: str | None) -> set[str]:
 def parts(word: str) -> list[str]:
     """A word (letters in a row taken as one, as decoding may leave either),
     its beginnings and its ends."""
-    return [f"={_HELD.sub(r'\1', word)}", *(word[:k] for k in PARTS if k <= len(word)), *(f"~{word[-k:]}" for k in PARTS if k <= len(word))]
+    out = ["=" + (_HELD.sub(r"\1", word) if _TWICE.search(word) else word)]
+    sizes = [k for k in PARTS if k <= len(word)]
+    out += [word[:k] for k in sizes]
+    return out + ["~" + word[-k:] for k in sizes]
 
 
 class Evidence:
@@ -239,8 +243,13 @@ class Evidence:
         self.weights = weights
 
     def __call__(self, words: list[str]) -> float:
-        get = self.weights.get
-        return max((get(p, 0.0) for w in words for p in parts(w)), default=0.0) if self.weights else 0.0
+        best, get = 0.0, self.weights.get
+        for word in words if self.weights else ():
+            for p in parts(word):
+                w = get(p)
+                if w is not None and w > best:
+                    best = w
+        return best
 
 
 def evidence(text: str | None, reader: Reader) -> tuple[float, float]:
