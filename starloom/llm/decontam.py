@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import ascii_lower, fresh, staged
+from starloom.llm.common import ascii_lower, fresh, release, staged
 
 #: Words in one broadcast automaton (a state takes about 0.5 KB).
 SHARD_WORDS = 200_000
@@ -170,13 +170,16 @@ def _automaton(shared: Broadcast, window: int) -> SuffixAutomaton:
 def _matcher(shared: Broadcast, window: int):
     @F.pandas_udf(MATCH_TYPE)
     def match(text: pd.Series) -> pd.DataFrame:
-        auto, rows = _automaton(shared, window), []
+        auto, rows, t, words = _automaton(shared, window), [], None, None
         for t in text:
             words = words_of(t)
             spans, items = auto.scan(words)
             rows.append((len(words), [{"start": s, "end": e} for s, e in spans], sorted(items)))
+        del text, t, words
+        release()
         return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
-    return match
+    # a filter on the match would otherwise run it a second time, with workers of its own
+    return match.asNondeterministic()
 
 
 def shards(benchmark: DataFrame, window: int, limit: int = SHARD_WORDS,
@@ -255,7 +258,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     m = fresh(docs, "_found")
     found = match_benchmark(docs, benchmark, window, out_col=m)
     kept = found.filter(F.col(f"{m}.n_hit") <= F.lit(max_coverage) * F.col(f"{m}.n_words"))
-    cut = F.when(F.size(f"{m}.spans") > 0, _cut(F.col("text"), F.col(f"{m}.spans"))).otherwise(F.col("text"))
+    if max_coverage <= 0:  # who has a span has gone: nothing is left to cut
+        return kept.drop(m)
+    # only texts that lose words are sent to Python
+    hit = F.size(f"{m}.spans") > 0
+    cut = F.when(hit, _cut(F.when(hit, F.col("text")), F.col(f"{m}.spans"))).otherwise(F.col("text"))
     return kept.withColumn("text", cut).drop(m)
 
 

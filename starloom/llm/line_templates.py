@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import ASCII_WORD, fresh, staged
+from starloom.llm.common import fresh, staged
 
 LEAD, MIN_TOKENS = 3, 4
 MIN_DOCS, MIN_SHAPES, MIN_CONSTANT = 5, 3, 0.6
@@ -55,15 +55,31 @@ def _masked(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), ANY).otherwise(t))
 
 
+def _blanks(text: Column) -> Column:
+    """ASCII white space other than "\\n" as blanks: tokens then lie between
+    blanks, where a split needs no regex engine."""
+    for c in "\t\x0b\f\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
+def _tokens(line: Column) -> Column:
+    return F.array_remove(F.split(line, " "), "")
+
+
 def _lines(docs: DataFrame, text: Column, key: Column, min_tokens: int) -> DataFrame:
-    """One row per line with enough tokens: key, n_lines, pos, line, leaf."""
-    split = F.split(text, "\n", -1)
-    line = F.btrim("line", F.lit(" \t\n\x0b\f\r"))
-    lines = docs.select(key.alias("key"), F.size(split).alias("n_lines"), F.posexplode(split).alias("pos", "line")) \
-        .withColumn("n", F.regexp_count("line", F.lit(ASCII_WORD))).filter(F.col("n") >= min_tokens).withColumn("line", line)
-    # the last element of a limited split is the rest of the line
-    lead = _masked(F.slice(F.split("line", r"[\x20\x09-\x0D]+", LEAD + 1), 1, LEAD))
-    return lines.withColumn("leaf", F.xxhash64("n", lead))
+    """One row per line with enough tokens: key, n_lines, pos, line (white
+    space as blanks), n, leaf."""
+    # outer: a test for empty arrays would be put ahead and split each text again
+    lines = docs.select(key.alias("key"), F.split(_blanks(text), "\n", -1).alias("all")) \
+        .select("key", F.size("all").alias("n_lines"), F.posexplode_outer("all").alias("pos", "line")) \
+        .withColumn("tokens", _tokens(F.col("line")))
+    lead = [F.get("tokens", F.lit(i)) for i in range(LEAD)]
+    n = F.size("tokens")
+    leaf = F.xxhash64(n, *[F.when(t.rlike("[0-9]"), ANY).otherwise(t) for t in lead])
+    # generated, so that filters on them don't make the tokens once more
+    return lines.select("key", "n_lines", "pos", "line", F.inline(F.array(F.struct(n.alias("n"), leaf.alias("leaf"))))) \
+        .filter(F.col("n") >= min_tokens)
 
 
 def recurring_lines(docs: DataFrame, text: Column, key: Column, min_docs: int = MIN_DOCS, min_shapes: int = MIN_SHAPES,
@@ -75,7 +91,7 @@ def recurring_lines(docs: DataFrame, text: Column, key: Column, min_docs: int =
         F.count(F.lit(1)).alias("lines"), F.min("n_lines").alias("lo"), F.max("n_lines").alias("hi"))
         .filter((F.col("lines") >= min_docs) & ((F.col("lo") < F.col("hi")) | (F.lit(min_shapes) <= 1))).select("leaf"), "leaves")
     found = lines.filter(maybe_in(leaves, "leaf")(F.col("leaf"))).join(leaves, "leaf")
-    tokens = _masked(F.split("line", r"[\x20\x09-\x0D]+"))
+    tokens = _masked(_tokens(F.col("line")))
     # equal lines of a leaf have one template: it is made once
     found = staged(found.select("leaf", "key", "n_lines", "pos", tokens.alias("tokens"))
                    .withColumn("form", F.xxhash64("leaf", "tokens")), "leaf-lines")

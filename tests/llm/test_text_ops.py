@@ -276,3 +276,31 @@ def test_line_templates_against_sql(spark, tmp_path):
 def test_line_templates_stay_on_the_jvm(spark):
     plan = line_templates.digest(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_line_templates_any_ascii_white_space(spark):
+    """Tokens lie between runs of any ASCII white space, and of no other."""
+    gap = [" ", "\t", "\x0b", "\f", "\r", " \t ", "\r\r", "\x0b\f"]
+    docs = [(i, "\n".join([f"{gap[i]}same{gap[i]}four{gap[i]}words{gap[i]}here{gap[i]}", *[_own(i)] * (i % 4 + 1)])) for i in range(8)]
+    docs += [(20 + i, "\n".join(["same\xa0four words here", *[_own(i)] * (i % 3 + 1)])) for i in range(4)]
+    out = {r.doc_id: r for r in line_templates.drop_recurring_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(out[i].text == docs[i][1].split("\n", 1)[1] for i in range(8))
+    assert all(out[20 + i].text == docs[8 + i][1] for i in range(4))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_split_without_regex_and_once(spark):
+    df = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
+    lines = line_templates._lines(df, df["text"], df["doc_id"], 4)
+    plan = _plan(lines.filter("leaf = 1").select("leaf"))
+    assert "regexp_count" not in plan and plan.count("array_remove(") == 1
+    assert plan.count("replace(replace(replace(replace(") == 1
+
+
+def test_decontaminate_runs_one_python_step(spark):
+    df, bench = _frame(spark, [(1, "a b c")]), spark.createDataFrame([("i", "a b")], "item_id string, text string")
+    assert _plan(decontam.decontaminate(df, bench, max_coverage=0.0)).count("ArrowEvalPython") == 1
+    assert _plan(decontam.decontaminate(df, bench, max_coverage=0.5)).count("ArrowEvalPython") == 2
