@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import dims, incremental, quality, scd2
 from starloom.operators.facts import actual_sales_agg, sales_fact
+from starloom.operators.keys import number_rows
 from starloom.operators.silver import clean_sales
 from starloom.plans.incremental import IncrementalWarehouse
 from starloom.schemas import BRONZE_BUSINESS_COLUMNS, DIM_PRODUCT, FACT_SALES, PRIMARY_KEYS
@@ -131,6 +132,30 @@ def test_new_records_read_no_past_batch(spark, three):
     assert out.count() == 1 and asked == []
 
 
+def test_a_batch_of_seen_and_new_records_moves_the_new_ones(spark, house):
+    assert house.load(_raw(spark, ONE), "one")
+    assert house.load(_raw(spark, ONE + TWO + TWO), "two", effective_date="2008-06-01")
+    assert sorted(tuple(r)[:len(BRONZE_BUSINESS_COLUMNS)] for r in house.bronze.read(["two"]).select(*BRONZE_BUSINESS_COLUMNS).collect()) == sorted(TWO)
+
+
+def test_a_digest_is_made_once(spark):
+    rows = _raw(spark, ONE).select(incremental.record_digest().alias("d"), "NAME")
+    other = rows.select("d").hint("merge")
+    plan = rows.join(other, "d", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("sha2(") == 2  # once a side, and no more for a test for NULL
+
+
+def test_settled_lines_are_staged_without_names(spark, house, monkeypatch):
+    from starloom.plans import incremental as plan
+    staged = []
+    monkeypatch.setattr(plan, "number_rows", lambda df, *a: staged.append(df) or number_rows(df, *a))
+    late = _sale(1, 8, "M", "2007-01-06", 2)
+    house.load(_raw(spark, [*ONE, late]), "one", members=_raw(spark, ONE))
+    rows = staged[0].collect()
+    assert len(rows) == 4 and all((r["CUSTOMER_CODE"] is None) == (r["customer_key"] != -1) for r in rows)
+    assert [r["CUSTOMER_CODE"] for r in house.late_sales().collect()] == ["C8"]
+
+
 def test_late_customers_move_from_minus_one(spark, house):
     known = [r for r in ONE if r[6] != "7"]
     house.load(_raw(spark, ONE), "one", members=_raw(spark, known), products=_raw(spark, known))
