@@ -6,7 +6,8 @@ import re
 from pyspark.sql import functions as F
 
 from starloom.operators import facts, incremental, quality
-from starloom.operators.silver import drop_exact_duplicates
+from starloom.operators.silver import clean_distinct, clean_sales, drop_exact_duplicates
+from starloom.schemas import BRONZE_BUSINESS_COLUMNS
 from starloom.sources import driver_tables
 from starloom.sources.bronze import normalize_columns, stamp_ingestion
 from tests.conftest import SF_SMALL
@@ -73,3 +74,51 @@ def test_a_first_batch_is_not_staged(spark, monkeypatch):
     rows = spark.createDataFrame([("1", "x"), ("1", "x")], "a string, b string")
     seen = spark.range(0).select(F.lit(7).cast("long").alias("h"), F.lit("one").alias("batch"))
     assert incremental.unseen_records(rows, seen, lambda batches: None, ["a", "b"]).count() == 1
+
+
+def test_only_repeated_records_are_moved(spark, monkeypatch):
+    rows = spark.createDataFrame([("1", "x"), ("1", "x"), ("12", None), ("1", "2x"), (None, "n"), (None, "n"), ("3", "y")], "a string, b string")
+    distinct = {("1", "x"), ("12", None), ("1", "2x"), (None, "n"), ("3", "y")}
+    moved = []
+    drop = type(rows).dropDuplicates
+    monkeypatch.setattr(type(rows), "dropDuplicates", lambda df, cols: moved.append(df.count()) or drop(df, cols))
+    out = incremental.unseen_records(rows, spark.range(0).withColumn("h", F.col("id")), lambda batches: None, ["a", "b"])
+    assert out.columns == ["a", "b", "h"]
+    assert sorted(map(str, out.select("a", "b").collect())) == sorted(str(r) for r in rows.distinct().collect())
+    assert out.count() == len(distinct) and moved == [4]
+    # records of one hash are told apart by what they hold
+    monkeypatch.setattr(incremental, "record_hash", lambda columns: F.lit(-7).cast("long"))
+    assert {(r.a, r.b) for r in incremental.distinct_records(rows, ["a", "b"]).collect()} == distinct
+
+
+def test_bounded_versions_do_not_move_the_lines(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sales = spark.createDataFrame([(7, "a", "C", "R", "c", "s", dt.datetime(2007, 1, 3), 2, 5), (8, "a", "C", "R", "c", "s", dt.datetime(2006, 1, 3), 1, 1)],
+                                      "PRODUCTKEY long, CUSTOMER_CODE string, CONTINENT string, COUNTRY_REGION string, CITY string, STATE string, "
+                                      "ORDER_DATE timestamp_ntz, QUANTITY long, NET_PRICE long")
+        day = dt.date(2007, 1, 1)
+        prod = spark.createDataFrame([(1, 7, day, dt.date(9999, 12, 31)), (2, 8, day, dt.date(9999, 12, 31))],
+                                     "product_key long, product_number long, change_begin_date date, change_end_date date")
+        cust = spark.createDataFrame([(4, "a")], "customer_key long, customer_code string")
+        loc = spark.createDataFrame([(5, "C", "R", "s", "c")], "location_key long, continent string, country_region string, state string, city string")
+        dd = spark.createDataFrame([(20070103, dt.date(2007, 1, 3))], "date_key int, date date")
+        found = facts.look_up_sales(sales, prod, cust, loc, dd)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {(r.PRODUCTKEY, r.product_key, r.customer_key, r.location_key, r.date_key) for r in found.collect()} == {(7, 1, 4, 5, 20070103), (8, -1, 4, 5, -1)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_members_are_cleaned_once_a_tuple(spark):
+    records = spark.createDataFrame(
+        [(str(i % 2 + 1), " a, " if i % 3 else None, q) for i in range(12) for q in ("1", "2.0", None)] + [("9", "z", "1.5"), ("8", "y", "x")],
+        "CUSTOMERKEY string, NAME string, QUANTITY string")
+    for c in BRONZE_BUSINESS_COLUMNS:
+        if c not in records.columns:
+            records = records.withColumn(c, F.lit("1"))
+    whole = clean_sales(records, dedup=False).select("CUSTOMER_KEY", "NAME", "CONTINENT").distinct()
+    found = clean_distinct(records, ["CUSTOMER_KEY", "NAME", "CONTINENT"])
+    assert _rows(found) == _rows(whole) and found.count() == 5
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[CUSTOMERKEY#\d+, NAME#\d+", plan)  # text is made distinct, then cleaned
