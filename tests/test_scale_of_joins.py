@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from starloom.operators import facts, incremental, quality
+from starloom.operators import facts, incremental, quality, scd2
 from starloom.operators.silver import clean_distinct, clean_sales, drop_exact_duplicates
 from starloom.schemas import BRONZE_BUSINESS_COLUMNS
 from starloom.sources import driver_tables
@@ -122,3 +122,56 @@ def test_members_are_cleaned_once_a_tuple(spark):
     assert _rows(found) == _rows(whole) and found.count() == 5
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Aggregate \[CUSTOMERKEY#\d+, NAME#\d+", plan)  # text is made distinct, then cleaned
+
+
+def _plans(monkeypatch):
+    """Executed plans of the rows that ``DataFrame.first`` fetches."""
+    from pyspark.sql import DataFrame
+    seen, first = [], DataFrame.first
+
+    def noted(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return first(df)
+    # the class of the session's frames has its own method
+    for cls in DataFrame.__subclasses__():
+        if "first" in vars(cls):
+            monkeypatch.setattr(cls, "first", lambda df, _f=vars(cls)["first"]: seen.append(df._jdf.queryExecution().executedPlan().toString()) or _f(df))
+    monkeypatch.setattr(DataFrame, "first", noted)
+    return seen
+
+
+def test_lines_are_counted_where_they_are_stored_and_places_come_last(spark, monkeypatch):
+    monkeypatch.setattr(driver_tables, "LARGE", 1)
+    monkeypatch.setattr(driver_tables, "LINES_PER_TASK", 400)
+    seen = _plans(monkeypatch)
+    raw = driver_tables.raw_sales_records(spark, SF_SMALL)
+    counted = [p for p in seen if "l_partkey" in p]
+    assert counted and not any("hashpartitioning(l_orderkey" in p for p in counted)
+    # names of nation and region are joined above the shuffle by product
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("n_name") < plan.index("hashpartitioning(_product")
+    below = plan[plan.index("hashpartitioning(_product"):plan.index("hashpartitioning(_part")]
+    assert "n_name" not in below and "r_name" not in below
+
+
+def test_digests_alone_meet_the_past(spark, monkeypatch):
+    staged, stage = {}, incremental.stage
+    monkeypatch.setattr(incremental, "stage", lambda df, name: staged.setdefault(name, df) and stage(df, name))
+    old = spark.createDataFrame([("1", "x"), (None, "n")], "a string, b string")
+    rows = old.unionByName(spark.createDataFrame([("2", "x"), ("2", "x"), ("1", None)], "a string, b string"))
+    seen = old.select(incremental.record_hash(["a", "b"]).alias("h"), F.lit("one").alias("batch"))
+    out = incremental.unseen_records(rows, seen, lambda batches: old, ["a", "b"])
+    assert sorted((r.a, r.b or "-") for r in out.select("a", "b").collect()) == [("1", "-"), ("2", "x")]
+    assert out.columns == ["a", "b", "h"] and staged["unseen"].columns == ["_d"]
+
+
+def test_fanout_is_dealt_by_the_number_of_lines(spark, monkeypatch):
+    day, end = dt.date(2007, 1, 1), dt.date(9999, 12, 31)
+    silver = spark.createDataFrame([(p, dt.datetime(2007, 1, d)) for p in (1, 2, 3, None) for d in (1, 2, 2)], "PRODUCTKEY long, ORDER_DATE timestamp_ntz")
+    dim = spark.createDataFrame([(1, 1, day, end), (2, 1, day, end), (3, 2, day, end)],
+                                "product_key long, product_number long, change_begin_date date, change_end_date date")
+    small = [_rows(scd2.version_fanout(silver, dim, as_written, None)) for as_written in (True, False)]
+    monkeypatch.setattr(scd2, "DAYS_PER_TASK", 3)
+    dealt = [scd2.version_fanout(silver, dim, as_written, None) for as_written in (True, False)]
+    assert [_rows(df) for df in dealt] == small and [len(x) for x in small] == [3, 2]
+    assert all("REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString() for df in dealt)
