@@ -175,3 +175,16 @@ def test_fanout_is_dealt_by_the_number_of_lines(spark, monkeypatch):
     dealt = [scd2.version_fanout(silver, dim, as_written, None) for as_written in (True, False)]
     assert [_rows(df) for df in dealt] == small and [len(x) for x in small] == [3, 2]
     assert all("REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString() for df in dealt)
+
+
+def test_versions_cut_into_many_bins_are_not_broadcast(spark):
+    sales = spark.createDataFrame([(p, dt.datetime(y, 1, 3)) for p in (1, 2, None) for y in (1990, 2010)], "PRODUCTKEY long, ORDER_DATE timestamp_ntz")
+    day = dt.date(2000, 1, 1)
+    dim = spark.createDataFrame([(1, 1, dt.date(1900, 1, 1), day), (2, 1, day, dt.date(9999, 12, 31)), (3, 2, day, dt.date(9999, 12, 31))],
+                                "product_key long, product_number long, change_begin_date date, change_end_date date")
+    for how in ("left", "inner"):
+        few, many = (incremental.binned_lookup(sales, dim, how=how, bin_days=30, broadcast_max_rows=n) for n in (1000, 100))
+        assert _rows(few) == _rows(many) == _rows(scd2.scd2_lookup(sales, dim, how=how))
+        assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+        # three versions make some 500 rows: the planner, which sees three, must not send them through the driver
+        assert "Broadcast" not in many._jdf.queryExecution().executedPlan().toString()
