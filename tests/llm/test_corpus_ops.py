@@ -168,6 +168,32 @@ def test_vectors_audit_weighs_vectors_not_links(spark):
     assert nn_descent._audit(chain, nodes, 0.9) < 0.95  # the pairs are missed, however many links the hot one has
 
 
+def _two_clusters(n, dims=16, seed=12):
+    """Two tight clusters whose centres are just under the threshold apart: all
+    lists are full of the own cluster, and few pairs across are links."""
+    r = np.random.default_rng(seed)
+    out = []
+    for k, angle in enumerate((0.0, np.arccos(0.898))):
+        c = np.zeros(dims)
+        c[0], c[1] = np.cos(angle), np.sin(angle)
+        out += [(100 * k + i, (c + r.normal(scale=0.004, size=dims)).tolist()) for i in range(n)]
+    far = np.zeros(dims)
+    far[5] = 1.0
+    out += [(500 + i, (far + r.normal(scale=0.004, size=dims)).tolist()) for i in range(20)]
+    return [(i, [*v[:-1], 0.0]) for i, v in out]
+
+
+@pytest.mark.parametrize("ball,balls", [(nn_descent.BALL, nn_descent.BALLS), (5, 3)])
+def test_links_that_full_lists_leave_out(spark, monkeypatch, ball, balls):
+    monkeypatch.setattr(nn_descent, "BALL", ball)
+    monkeypatch.setattr(nn_descent, "BALLS", balls)
+    rows = _two_clusters(40)
+    expect = _plain_vectors(rows)
+    assert {c for _, c in expect.values()} == {0, 500}  # links across join the two
+    got = nn_descent.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == expect
+
+
 def test_no_vectors(spark):
     assert nn_descent.digest(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
