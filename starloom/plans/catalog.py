@@ -111,7 +111,7 @@ def s05(spark, sf):
     store = _store(spark, "layers")
     bronze = _ctx(spark, sf).bronze
     store.write(bronze, "bronze_sales")
-    store.write(drop_exact_duplicates(store.read("bronze_sales")), "bronze_sales")
+    store.write(drop_exact_duplicates(store.read("bronze_sales"), stored=True), "bronze_sales")
     return raw_cmp(store.read("bronze_sales"))
 
 
@@ -156,11 +156,11 @@ def s13(spark, sf):
     """S1 in the form that the reference reads: one JSON array per file."""
     path = scratch_path(spark, "sales-array")
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("r")
-    # an array per task's rows, cut into files of a bounded number of records
+    # an array per task's rows, cut into compressed files of a bounded number of records
     rows = _ctx(spark, sf).raw_source.select(record, F.spark_partition_id().alias("p"),
                                              F.floor(F.monotonically_increasing_id() / 5000).alias("f"))
     rows.groupBy("p", "f").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ","), F.lit("]")).alias("value")) \
-        .select("value", "p", "f").write.partitionBy("p", "f").text(path)
+        .select("value", "p", "f").write.partitionBy("p", "f").option("compression", "gzip").text(path)
     return raw_cmp(read_sales_json(spark, f"{path}/*/*", lines=False))
 
 
@@ -227,7 +227,7 @@ def s12(spark, sf):
     src, bronze, ckpt = (scratch_path(spark, n) for n in ("drop", "bronze", "stream-ckpt"))
     first, second = split_by_order_date(_ctx(spark, sf).raw_source, BATCH_CUT)
     for i, batch in enumerate((first, second)):
-        batch.write.json(f"{src}/drop={i}")
+        batch.write.option("compression", "gzip").json(f"{src}/drop={i}")
         ingest_sales_files(spark, f"{src}/drop=*", bronze, ckpt, SOURCE_NAMES).awaitTermination()
     ingest_sales_files(spark, f"{src}/drop=*", bronze, ckpt, SOURCE_NAMES).awaitTermination()
     out = spark.read.parquet(bronze)
@@ -351,7 +351,7 @@ FROM {_DIRTY} GROUP BY 1""", "raw"))
 def p09b(spark, sf):
     """P9 on odd values: every reason to reject occurs."""
     bronze = stamp_ingestion(normalize_columns(dirty_records(_ctx(spark, sf).raw_source)))
-    good, bad = split_dead_letter(bronze)
+    good, bad = split_dead_letter(bronze, together=True)
     outcomes = good.select(F.lit("accepted").alias("outcome")).unionByName(bad.select(F.col("reject_reason").alias("outcome")))
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.schemas import LAYERS
+from starloom.session import CODEC
 
 _VERSION = re.compile(r"^v(\d{6,})(?:-(.+))?$")
 
@@ -87,7 +88,7 @@ class TableStore:
         if schema is not None:
             df = conform(df, schema)
         path = self._version_path(name, self._next_version(name))
-        writer = df.write.mode("errorifexists")
+        writer = df.write.mode("errorifexists").option("compression", CODEC)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
@@ -106,7 +107,7 @@ class TableStore:
         if not re.fullmatch(r"[\w.=-]+", batch):
             raise ValueError(f"batch name {batch!r}: letters, digits, '.', '_', '=' and '-' only")
         if (vs[-1], batch, True) not in self._folders(name):
-            df.write.mode("overwrite").parquet(self._version_path(name, vs[-1], batch))
+            df.write.mode("overwrite").option("compression", CODEC).parquet(self._version_path(name, vs[-1], batch))
         return self.read(name)
 
     def batches(self, name: str) -> list[str]:

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from starloom.session import CODEC
 from starloom.sources.bronze import normalize_columns, stamp_ingestion
 
 
@@ -33,6 +34,7 @@ def ingest_sales_files(spark: SparkSession, source_dir: str, bronze_path: str,
     stream = stamp_ingestion(normalize_columns(reader.json(source_dir)))
     writer = (stream.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint_path)
+              .option("compression", CODEC)
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

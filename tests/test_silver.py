@@ -60,3 +60,17 @@ def test_dead_letter_non_positive(spark):
     assert good.count() == 1
     assert sorted(r["reject_reason"] for r in bad.collect()) == [
         "non_positive_price", "non_positive_quantity"]
+
+
+def test_sides_read_together_share_one_deduplication(spark):
+    odd = [{}, {}, {"QUANTITY": "1.5"}, {"QUANTITY": "1.5"}, {"QUANTITY": None}, {"QUANTITY": "-2", "NET_PRICE": "0"}, {"NET_PRICE": "0"},
+           {"NET_PRICE": "n/a"}, {"NAME": None}, {"NAME": ""}]
+    bronze = _bronze(spark, [BASE | o for o in odd])
+    one, two = split_dead_letter(bronze), split_dead_letter(bronze, together=True)
+    for a, b in zip(one, two):
+        a, b = a.drop("TRANSFORMED_DATE"), b.drop("TRANSFORMED_DATE")
+        assert a.dtypes == b.dtypes and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert (two[0].count(), two[1].count()) == (5, 3)
+    outcomes = two[0].select("NAME").unionByName(two[1].select("reject_reason").withColumnRenamed("reject_reason", "NAME"))
+    plan = outcomes._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("_raw_" in x or "QUANTITY" in x for x in plan.splitlines() if "Filter" in x), plan  # no side cleans numbers of its own

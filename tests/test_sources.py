@@ -119,3 +119,43 @@ def test_load_forecast_rejects_duplicates(spark, tmp_root):
     dup = _write(os.path.join(tmp_root, "dup.json"), [rec, dict(rec, forecast=2.0)])
     with pytest.raises(ValueError):
         load_forecast(spark, dup, lines=False)
+
+
+def test_a_stored_table_moves_repeated_records_only(spark, tmp_root, monkeypatch):
+    from starloom.operators import silver
+    from starloom.sources.bronze import stamp_ingestion
+    rows = [tuple(v if c == "NAME" else "1" for c in BRONZE_BUSINESS_COLUMNS) for v in ("a", "a", "b", None, None, "")]
+    store = TableStore(spark, tmp_root)
+    stored = store.write(stamp_ingestion(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in BRONZE_BUSINESS_COLUMNS))), "t")
+    moved, drop = [], type(stored).dropDuplicates
+    monkeypatch.setattr(type(stored), "dropDuplicates", lambda df, cols: moved.append(df.count()) or drop(df, cols))
+    out = silver.drop_exact_duplicates(stored, stored=True)
+    assert out.columns == stored.columns and moved == [4]
+    assert sorted(str(r.NAME) for r in out.collect()) == ["", "None", "a", "b"]
+
+
+def test_written_records_are_compressed(spark, tmp_root):
+    import glob
+    store = TableStore(spark, f"{tmp_root}/store")
+    spark.conf.set("spark.sql.parquet.compression.codec", "none")
+    try:
+        store.write(spark.range(3), "t")
+        store.append(spark.range(3), "t", "b")
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+    files = glob.glob(f"{tmp_root}/store/t/*/part-*")
+    assert files and all(".zstd." in f for f in files)
+
+
+def test_landed_json_is_compressed(spark, monkeypatch):
+    import glob
+
+    from starloom.plans import catalog
+    from tests.conftest import SF_SMALL
+    made, path_of = [], catalog.scratch_path
+    monkeypatch.setattr(catalog, "scratch_path", lambda *a: made.append(path_of(*a)) or made[-1])
+    for name in ("s13_read_sales_json_array", "s12_stream_ingest_bronze"):
+        assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+    landed = [f for p in made for f in glob.glob(f"{p.removeprefix('file:')}/**/part-*", recursive=True) if not f.endswith(".parquet")]
+    assert landed and all(f.endswith((".txt.gz", ".json.gz")) for f in landed)
+    assert [f for p in made for f in glob.glob(f"{p.removeprefix('file:')}/**/part-*.zstd.parquet", recursive=True)]
